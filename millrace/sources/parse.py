@@ -26,14 +26,18 @@ _JSON = {
 
 
 def _envelope(text: Column) -> Column:
-    """The text inside an object whose last key proves that the text was one complete value."""
-    return F.concat(F.lit('{"_record":'), text, F.lit(',"_end":1}'))
+    """The text as the only element of a list, in an object with one more key behind it.
+
+    One element and a present last key prove that the text was one complete json value:
+    the parser itself stops after the first value and does not look at what follows.
+    """
+    return F.concat(F.lit('{"_record":['), text, F.lit('],"_end":1}'))
 
 
 def _envelope_type(record: T.DataType) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("_record", record),
+            T.StructField("_record", T.ArrayType(record)),
             T.StructField("_end", T.IntegerType()),
             T.StructField("_corrupt", T.StringType()),
         ]
@@ -60,6 +64,11 @@ def _nullable(kind: T.DataType) -> T.DataType:
     return kind
 
 
+def _one_value() -> Column:
+    complete = F.col("_end").isNotNull() & F.col("_corrupt").isNull()
+    return F.coalesce(complete & (F.size("_record") == 1), F.lit(False))
+
+
 def parse_json_lines(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     """One json object per line; anything else than one complete object is not ok."""
     if schema == VARIANT:
@@ -71,20 +80,19 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
         return parsed.select(
             "value",
             "source",
-            F.expr("struct(variant_get(_parsed, '$._record', 'variant') AS record)").alias("record"),
+            F.expr("struct(try_variant_get(_parsed, '$._record[0]', 'variant') AS record)").alias("record"),
             F.coalesce(
                 F.expr("try_variant_get(_parsed, '$._end', 'int')").isNotNull()
+                & F.expr("try_variant_get(_parsed, '$._record[1]', 'variant')").isNull()
                 & F.col("value").rlike(r"\A\s*\{"),
                 F.lit(False),
             ).alias("ok"),
         )
     record = _nullable(_as_schema(schema))
     parsed = F.from_json(_envelope(F.col("value")), _envelope_type(record), _JSON)
+    first = F.get(F.col("_record"), F.lit(0))
     return lines.select("value", "source", F.inline(F.array(parsed))).select(
-        "value",
-        "source",
-        F.col("_record").alias("record"),
-        (F.col("_end").isNotNull() & F.col("_record").isNotNull() & F.col("_corrupt").isNull()).alias("ok"),
+        "value", "source", first.alias("record"), (_one_value() & first.isNotNull()).alias("ok")
     )
 
 
@@ -98,9 +106,10 @@ def json_elements(documents: DataFrame) -> DataFrame:
     is_array = F.col("value").rlike(r"\A\s*\[")
     parsed = F.when(is_array, F.from_json(_envelope(F.col("value")), array_type, _JSON))
     split = documents.select("value", "source", F.inline_outer(F.array(parsed)))
-    whole = F.col("_end").isNotNull() & F.col("_record").isNotNull() & F.col("_corrupt").isNull()
+    items = F.get(F.col("_record"), F.lit(0))
     elements = F.when(
-        whole, F.transform(F.col("_record"), lambda item: F.coalesce(F.to_json(item), F.lit("null")))
+        _one_value() & items.isNotNull(),
+        F.transform(items, lambda item: F.coalesce(F.to_json(item), F.lit("null"))),
     ).otherwise(F.array(F.col("value")))
     return split.select(F.explode(elements).alias("value"), "source")
 

@@ -56,21 +56,16 @@ def apply_policy(
     elif on_reject == "none":
         kept = parsed.where("ok")
     else:
-        if not parsed.isStreaming:
-            if observation is None:
-                observation = Observation()
-                _report(observation, path)
-            parsed = parsed.observe(
-                observation,
-                F.count(F.lit(1)).alias("read"),
-                F.count_if(~F.col("ok")).alias("rejected"),
-            )
+        counts = F.count(F.lit(1)).alias("read"), F.count_if(~F.col("ok")).alias("rejected")
+        if parsed.isStreaming:
+            # the counts of each batch are in the progress of the query
+            parsed = parsed.observe("millrace_rejects", *counts)
+        elif observation is not None:
+            parsed = parsed.observe(observation, *counts)
         else:
-            parsed = parsed.observe(
-                "millrace_rejects",
-                F.count(F.lit(1)).alias("read"),
-                F.count_if(~F.col("ok")).alias("rejected"),
-            )
+            observation = Observation()
+            parsed = parsed.observe(observation, *counts)
+            _report(observation, path)
         kept = parsed.where("ok")
     return kept.select(*columns)
 
