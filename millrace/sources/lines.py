@@ -17,6 +17,9 @@ from millrace.sources.codecs import decoded, document_array, line_arrays
 
 SOURCE_TYPE = "struct<path:string,offset:bigint,length:bigint,total:bigint>"
 
+# The columns of Spark's binaryFile format.
+_FILE_TYPE = "path string, modificationTime timestamp, length bigint, content binary"
+
 _GZ_NAMES = "*.gz"
 # every name that does not end in ".gz"
 _OTHER_NAMES = "{*[^z],*[^g]z,*[^.]gz,z,gz}"
@@ -60,7 +63,7 @@ def _decoded_lines(reader, path, codec: str, delimiter: str, whole: bool) -> Dat
                     repeated = sources.take(pa.array([row] * len(lines), pa.int64()))
                     yield pa.RecordBatch.from_arrays([lines, repeated], names=["value", "source"])
 
-    files = reader.format("binaryFile").load(path)
+    files = reader.format("binaryFile").schema(_FILE_TYPE).load(path)
     source = F.struct(
         F.col("path"),
         F.lit(0).cast("bigint").alias("offset"),

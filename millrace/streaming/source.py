@@ -18,7 +18,7 @@ def read_stream(
     *,
     with_source: bool | str = False,
     files_per_batch: int | None = None,
-    bytes_per_batch: str | int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """The records of ``read`` as a stream; the limits bound one micro-batch.
 

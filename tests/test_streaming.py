@@ -1,0 +1,87 @@
+import pytest
+from pyspark.sql import functions as F
+
+from millrace import (
+    OptionError,
+    ReadOptions,
+    WriteOptions,
+    export,
+    export_stream,
+    read_ldjson,
+    read_stream,
+    send,
+)
+
+
+def finish(query):
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_stream_reads_once_and_goes_on(spark, folder):
+    source, target, marks = (str(folder / n) for n in ("in", "out", "marks"))
+    export(spark.range(0, 100, 1, 4), source, "ldjson", id="a")
+    options = ReadOptions(path=source, format="ldjson")
+
+    def run():
+        df = read_stream(spark, options, "id bigint", files_per_batch=2, with_source="origin")
+        assert df.isStreaming and df.columns == ["id", "origin"]
+        finish(export_stream(df.select("id"), WriteOptions(target, "ldjson", id="s"), marks))
+
+    run()
+    names = sorted(p.name for p in (folder / "out").glob("s.*.ldjson"))
+    assert {n.split(".")[1] for n in names} == {"0", "1"}
+    assert sorted(r.id for r in read_ldjson(spark, target, "id bigint").collect()) == list(range(100))
+    export(spark.range(100, 130, 1, 1), source, "ldjson", id="b")
+    run()
+    assert sorted(r.id for r in read_ldjson(spark, target, "id bigint").collect()) == list(range(130))
+
+
+@pytest.mark.parametrize("naming", ["exact", "direct"])
+def test_batch_that_runs_again_replaces_its_files(spark, folder, naming):
+    target = str(folder / "out")
+    options = WriteOptions(target, "ldjson", id="s", naming=naming)
+    send(spark.range(0, 50, 1, 5), options, batch=7)
+    send(spark.range(50, 60, 1, 1), options, batch=8)
+    send(spark.range(0, 50, 1, 2), options, batch=7)
+    assert sorted(r.id for r in read_ldjson(spark, target, "id bigint").collect()) == list(range(60))
+
+
+@pytest.mark.parametrize("compression", ["gzip", "lz4"])
+@pytest.mark.parametrize("format", ["ldjson", "json"])
+def test_compressed_and_routed_streams(spark, folder, format, compression):
+    source, target, marks = (str(folder / n) for n in ("in", "out", "marks"))
+    export(spark.range(0, 100, 1, 4), source, format, compression=compression, extension="bin")
+    df = read_stream(spark, ReadOptions(path=source, format=format, compression=compression), "id bigint")
+    routed = df.withColumn("to", (F.col("id") % 3).cast("string"))
+    options = WriteOptions(target, "ldjson", dynamic_routing=True, route_col="to")
+    finish(export_stream(routed, options, marks))
+    back = read_ldjson(spark, target, "id bigint", with_source="s")
+    wrong = back.where(F.element_at(F.split("s.path", "/"), -2) != (F.col("id") % 3).cast("string"))
+    assert back.count() == 100 and wrong.count() == 0
+
+
+def test_bad_records_in_a_stream(spark, folder):
+    (folder / "in").mkdir()
+    (folder / "in" / "x").write_text('{"id":1}\nbroken\n{"id":2}\n')
+    for action in ("none", "log"):
+        options = ReadOptions(path=str(folder / "in"), format="ldjson", on_reject=action)
+        df = read_stream(spark, options, "id bigint")
+        out = folder / action
+        query = export_stream(df, WriteOptions(str(out), "ldjson"), str(folder / f"{action}-marks"))
+        finish(query)
+        assert read_ldjson(spark, str(out), "id bigint").count() == 2
+        if action == "log":
+            seen = [p.observedMetrics.get("millrace_rejects") for p in query.recentProgress]
+            assert any(m and m.read == 3 and m.rejected == 1 for m in seen)
+    options = ReadOptions(path=str(folder / "in"), format="ldjson")
+    query = export_stream(read_stream(spark, options, "id bigint"), WriteOptions(str(folder / "t"), "ldjson"), str(folder / "t-marks"))
+    with pytest.raises(Exception, match="bad record"):
+        query.awaitTermination()
+
+
+def test_stream_needs_a_schema_and_new_files(spark, folder):
+    with pytest.raises(OptionError):
+        read_stream(spark, ReadOptions(path=str(folder), format="ldjson"))
+    with pytest.raises(OptionError):
+        export_stream(spark.range(1), WriteOptions(str(folder), "csv", file_per_slice=False), "/tmp/x")
