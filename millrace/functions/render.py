@@ -12,6 +12,10 @@ from millrace.functions.text import plain_number, quoted
 _BARE = (T.IntegralType, T.DecimalType, T.BooleanType)
 
 
+def _between_quotes(text: Column) -> Column:
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
 def csv_cell(value: Column, kind: T.DataType) -> Column:
     """One cell: text quoted, numbers and booleans bare, nested values as quoted json."""
     if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
@@ -22,9 +26,9 @@ def csv_cell(value: Column, kind: T.DataType) -> Column:
         return value.cast("string")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         zone = "XXX" if isinstance(kind, T.TimestampType) else ""
-        return quoted(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSS" + zone))
+        return _between_quotes(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSS" + zone))
     if isinstance(kind, T.BinaryType):
-        return quoted(F.base64(value))
+        return _between_quotes(F.base64(value))
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
         return quoted(F.to_json(value))
     return quoted(value.cast("string"))

@@ -12,6 +12,10 @@ WHITE_SPACE = (
 )
 
 
+ASCII_BLANKS = [char for char in WHITE_SPACE if ord(char) < 128]
+WIDE_BLANKS = [char for char in WHITE_SPACE if ord(char) >= 128]
+
+
 def trim_cell(cell: Column) -> Column:
     """Both ends trimmed of every Unicode space, not only of U+0020."""
     return F.trim(cell, F.lit(WHITE_SPACE))
@@ -24,21 +28,21 @@ def plain_number(value: Column) -> Column:
     """
     text = value.cast("string")
     size = F.abs(value)
-
-    def widened(decimal: str) -> Column:
-        return F.rtrim(F.rtrim(text.cast(decimal).cast("string"), F.lit("0")), F.lit("."))
-
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(text, "E", -1)
-    signed = F.when(exponent.startswith("-"), exponent).otherwise(F.concat(F.lit("+"), exponent))
+    # below 2**53 a double that equals its integer part is that integer
+    whole = (size < 2.0**53) & (value == value.cast("bigint"))
+    common = ((size >= 1e-3) & (size < 1e7)) | F.isnan(value) | (size == float("inf"))
+    scientific = F.regexp_replace(F.regexp_replace(text, r"(\.0)?E", "e+"), r"e\+-", "e-")
     return (
-        F.when(value == 0, F.lit("0"))
-        .when(~text.contains("E"), F.when(text.endswith(".0"), F.substring_index(text, ".", 1)).otherwise(text))
-        .when((size >= 1e7) & (size < 1e21), widened("decimal(38,10)"))
-        .when((size >= 1e-6) & (size < 1e-3), widened("decimal(38,24)"))
-        .otherwise(F.concat(mantissa, F.lit("e"), signed))
+        F.when(whole, value.cast("bigint").cast("string"))
+        .when(common, text)
+        .when((size >= 1e-6) & (size < 1e21), F.call_function("format_number", value.cast("double"), F.lit(_PLAIN)))
+        .otherwise(scientific)
     )
 
 
+# the shortest digits of a double need at most 17 + 6 places after the point here
+_PLAIN = "0." + "#" * 23
+
+
 def quoted(value: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))

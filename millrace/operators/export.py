@@ -18,7 +18,7 @@ from millrace.functions.render import (
 from millrace.options import WriteOptions
 from millrace.plans.commit import drop_empty_first_part, publish, staging_folder
 from millrace.plans.packing import LZ4_END_MARK, header_per_route, pack_files, with_header
-from millrace.session import Files
+from millrace.session import Files, small_methods
 
 
 def render(df: DataFrame, options: WriteOptions) -> DataFrame:
@@ -124,7 +124,8 @@ def send(df: DataFrame, options: WriteOptions, *, batch: int | None = None) -> i
     if options.naming_mode == "exact":
         staging = staging_folder(options)
         try:
-            writer.text(staging)
+            with small_methods(spark):
+                writer.text(staging)
             publish(spark, staging, options, batch)
         finally:
             Files(spark, options.path).remove(staging)
@@ -132,7 +133,8 @@ def send(df: DataFrame, options: WriteOptions, *, batch: int | None = None) -> i
         # a stream batch owns a folder, so that a second try replaces the first
         folder = options.path if batch is None else posixpath.join(options.path, f"batch={batch}")
         mode = "append" if batch is None else "overwrite"
-        writer.mode(mode).option("mapreduce.output.basename", options.id).text(folder)
+        with small_methods(spark):
+            writer.mode(mode).option("mapreduce.output.basename", options.id).text(folder)
         if not options.dynamic_routing:
             drop_empty_first_part(spark, options, folder)
     return counts.get["records"]

@@ -88,7 +88,8 @@ class ReadOptions:
     extra_args: Mapping[str, Any] = field(default_factory=dict)
     #: reject lines with more or fewer cells than ``fields`` (csv / tsv)
     check_width: bool = False
-    #: json / ldjson: True checks every whole record; False trades that for Spark's own json scan
+    #: True checks every record in full; False is for trusted input: json and ldjson use Spark's
+    #: own scan, csv and tsv skip the checks for open quotes and unusual blanks
     strict: bool = True
 
     def __post_init__(self) -> None:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -52,8 +53,20 @@ def adopt(spark: SparkSession, df: DataFrame) -> DataFrame:
     return empty.union(df)
 
 
-def string_struct(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Keep generated methods below the size that the HotSpot compiler refuses.
+
+    Rendering many columns makes one large method; this is the value that the Spark
+    documentation recommends for HotSpot.  The setting is put back afterwards.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 class Files:

@@ -45,32 +45,39 @@ def _reader(spark: SparkSession, streaming: bool, limits: dict):
     return reader.options(recursiveFileLookup=True, **limits)
 
 
-def _text_lines(reader, path, delimiter: str, whole: bool) -> DataFrame:
+def _text_lines(reader, path, delimiter: str, whole: bool, source: bool) -> DataFrame:
     reader = reader.option("wholetext", True) if whole else reader.option("lineSep", delimiter)
-    return reader.format("text").load(path).select("value", source_struct().alias("source"))
+    origin = source_struct() if source else F.lit(None).cast(SOURCE_TYPE)
+    return reader.format("text").load(path).select("value", origin.alias("source"))
 
 
-def _decoded_lines(reader, path, codec: str, delimiter: str, whole: bool) -> DataFrame:
+def _decoded_lines(reader, path, codec: str, delimiter: str, whole: bool, source: bool) -> DataFrame:
     mark = delimiter.encode("utf-8")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents, sources = batch.column("content"), batch.column("source")
+            contents = batch.column("content")
             for row in range(batch.num_rows):
                 chunks = decoded(contents[row].as_buffer(), codec)
-                arrays = [document_array(chunks)] if whole else line_arrays(chunks, mark)
-                for lines in arrays:
-                    repeated = sources.take(pa.array([row] * len(lines), pa.int64()))
-                    yield pa.RecordBatch.from_arrays([lines, repeated], names=["value", "source"])
+                for lines in [document_array(chunks)] if whole else line_arrays(chunks, mark):
+                    if source:
+                        place = pa.array([row] * len(lines), pa.int64())
+                        columns = [lines, batch.column("source").take(place)]
+                    else:
+                        columns = [lines]
+                    yield pa.RecordBatch.from_arrays(columns, names=["value", "source"][: len(columns)])
 
     files = reader.format("binaryFile").schema(_FILE_TYPE).load(path)
-    source = F.struct(
+    if not source:
+        lines = files.select("content").mapInArrow(rows, "value string")
+        return lines.select("value", F.lit(None).cast(SOURCE_TYPE).alias("source"))
+    origin = F.struct(
         F.col("path"),
         F.lit(0).cast("bigint").alias("offset"),
         F.col("length"),
         F.col("length").alias("total"),
     )
-    return files.select("content", source.alias("source")).mapInArrow(
+    return files.select("content", origin.alias("source")).mapInArrow(
         rows, f"value string, source {SOURCE_TYPE}"
     )
 
@@ -83,10 +90,14 @@ def read_lines(
     line_delimiter: str = "\n",
     size: int | None = None,
     whole: bool = False,
+    source: bool = True,
     streaming: bool = False,
     limits: dict | None = None,
 ) -> DataFrame:
-    """``value``, ``source`` for every line (or, with ``whole``, every file) below ``path``."""
+    """``value``, ``source`` for every line (or, with ``whole``, every file) below ``path``.
+
+    Without ``source`` that column is null, and the scan need not produce it.
+    """
     session = spark if size is None or streaming else sized_session(spark, size)
     limits = dict(limits or {})
 
@@ -96,14 +107,13 @@ def read_lines(
     if streaming and not isinstance(path, str):
         raise ValueError("a stream reads one path")
     path = path if isinstance(path, str) else list(path)
+    layout = (line_delimiter, whole, source)
     if compression == "none":
-        lines = _text_lines(reader(), path, line_delimiter, whole)
+        lines = _text_lines(reader(), path, *layout)
     elif compression == "gzip":
-        native = _text_lines(reader(pathGlobFilter=_GZ_NAMES), path, line_delimiter, whole)
-        other = _decoded_lines(
-            reader(pathGlobFilter=_OTHER_NAMES), path, "gzip", line_delimiter, whole
-        )
+        native = _text_lines(reader(pathGlobFilter=_GZ_NAMES), path, *layout)
+        other = _decoded_lines(reader(pathGlobFilter=_OTHER_NAMES), path, "gzip", *layout)
         lines = native.union(other)
     else:
-        lines = _decoded_lines(reader(), path, compression, line_delimiter, whole)
+        lines = _decoded_lines(reader(), path, compression, *layout)
     return lines if session is spark else adopt(spark, lines)

@@ -8,11 +8,13 @@ parsed once, however many columns and checks look at the result.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.functions.text import trim_cell
+from millrace.functions.text import ASCII_BLANKS, WIDE_BLANKS, trim_cell
 
 VARIANT = "variant"
 
@@ -96,31 +98,86 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     )
 
 
-def json_elements(documents: DataFrame) -> DataFrame:
-    """Whole json files as lines: one per array element, or the file itself if it is no array.
+def parse_json_documents(documents: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """Whole json files: one record per array element, or the file itself if it is an object.
 
-    Elements pass through VARIANT, so an element that is a string stays a (quoted) string.
-    A file that is not json at all comes out as one line, which the line parser refuses.
+    A file whose elements all fit is parsed once, straight to records.  Only a file with an
+    unfit element is taken apart: its elements pass through VARIANT, so that each keeps its
+    kind (a string stays a quoted string), and are judged one by one.  A file that is not
+    json at all is one record that is not ok.
     """
-    array_type = _envelope_type(T.ArrayType(T.VariantType()))
-    is_array = F.col("value").rlike(r"\A\s*\[")
-    parsed = F.when(is_array, F.from_json(_envelope(F.col("value")), array_type, _JSON))
-    split = documents.select("value", "source", F.inline_outer(F.array(parsed)))
+    if schema == VARIANT:
+        return parse_json_lines(_json_elements(documents), schema)
+    record = _nullable(_as_schema(schema))
+    text = F.col("value")
+    is_array = F.ltrim(text, F.lit(_JSON_SPACE)).startswith("[")
+    listed = F.when(is_array, text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+    fit = F.from_json(_envelope(listed), _envelope_type(T.ArrayType(record)), _JSON)
     items = F.get(F.col("_record"), F.lit(0))
-    elements = F.when(
-        _one_value() & items.isNotNull(),
-        F.transform(items, lambda item: F.coalesce(F.to_json(item), F.lit("null"))),
-    ).otherwise(F.array(F.col("value")))
-    return split.select(F.explode(elements).alias("value"), "source")
+    clean = _one_value() & items.isNotNull() & (is_array | (F.size(items) == 1))
+    judged_type = f"array<struct<value:string,record:{record.simpleString()},ok:boolean>>"
 
+    def as_fit(item: Column) -> Column:
+        shown = F.when(item.isNull(), F.lit("null"))
+        return F.struct(shown.alias("value"), item.alias("record"), item.isNotNull().alias("ok"))
+
+    texts = F.when(is_array, _element_texts(text)).otherwise(F.array(text))
+    parsed = F.transform(
+        texts, lambda item: F.struct(item.alias("value"), F.from_json(_envelope(item), _envelope_type(record), _JSON).alias("parsed"))
+    )
+
+    def as_judged(pair: Column) -> Column:
+        result = pair.getField("parsed")
+        first = F.get(result.getField("_record"), F.lit(0))
+        ok = (
+            result.getField("_end").isNotNull()
+            & result.getField("_corrupt").isNull()
+            & (F.size(result.getField("_record")) == 1)
+            & first.isNotNull()
+        )
+        return F.struct(
+            pair.getField("value").alias("value"), first.alias("record"), F.coalesce(ok, F.lit(False)).alias("ok")
+        )
+
+    rows = F.when(clean, F.transform(items, as_fit).cast(judged_type)).otherwise(
+        F.transform(parsed, as_judged).cast(judged_type)
+    )
+    split = documents.select("value", "source", F.inline(F.array(fit)))
+    return split.select("source", F.inline(rows)).select("value", "source", "record", "ok")
+
+
+# Fixed value: the blanks of json.
+_JSON_SPACE = " \t\n\r"
+
+
+def _element_texts(text: Column) -> Column:
+    """The elements of an array as json texts; the text itself if it is no array."""
+    parsed = F.from_json(_envelope(text), _envelope_type(T.ArrayType(T.VariantType())), _JSON)
+    items = F.get(parsed.getField("_record"), F.lit(0))
+    complete = (
+        parsed.getField("_end").isNotNull()
+        & parsed.getField("_corrupt").isNull()
+        & (F.size(parsed.getField("_record")) == 1)
+        & items.isNotNull()
+    )
+    return F.when(
+        complete, F.transform(items, lambda item: F.coalesce(F.to_json(item), F.lit("null")))
+    ).otherwise(F.array(text))
+
+
+def _json_elements(documents: DataFrame) -> DataFrame:
+    is_array = F.ltrim(F.col("value"), F.lit(_JSON_SPACE)).startswith("[")
+    texts = F.when(is_array, _element_texts(F.col("value"))).otherwise(F.array("value"))
+    return documents.select("source", F.explode(texts).alias("value"))
 
-def _unclosed_quote(line: Column, separator: str, quote: str, escape: str) -> Column:
-    """True when a cell starts with a quote that never ends on this line."""
 
-    def literal(text: str) -> str:
-        return "".join("\\x{%x}" % ord(char) for char in text)
+def _literal(text: str) -> str:
+    return "".join("\\x{%x}" % ord(char) for char in text)
 
-    q, e, sep = literal(quote), literal(escape), literal(separator)
+
+def _unclosed_quote(line: Column, separator: str, quote: str, escape: str) -> Column:
+    """True when a cell starts with a quote that never ends on this line."""
+    q, e, sep = _literal(quote), _literal(escape), _literal(separator)
     space = r"(?:(?!%s)\s)*+" % sep
     if quote == escape:
         inside = f"[^{q}]*+(?:{q}{q}[^{q}]*+)*+"
@@ -128,9 +185,38 @@ def _unclosed_quote(line: Column, separator: str, quote: str, escape: str) -> Co
         inside = f"[^{q}{e}]*+(?:{e}.[^{q}{e}]*+)*+"
     to_sep = f"(?:(?!{sep}).)*+" if len(separator) > 1 else f"[^{sep}]*+"
     opened = f"{space}{q}{inside}"
-    plain = f"(?!{space}{q}){to_sep}"
-    cell = f"(?:{opened}{q}{to_sep}|{plain})"
-    return line.contains(quote) & line.rlike(f"(?s)\\A(?:{cell}{sep})*+{opened}\\z")
+    # most cells show with their first character that they are plain
+    plain = f"(?!{sep})[^{q}\\s]{to_sep}"
+    cell = f"(?:{plain}|{opened}{q}{to_sep}|(?!{space}{q}){to_sep})"
+    return line.rlike(f"(?s)\\A(?:{cell}{sep})*+{opened}\\z")
+
+
+def _any(tests: Iterable[Column]) -> Column:
+    return reduce(or_, tests)
+
+
+def _blank_edges(line: Column, separator: str, quote: str) -> Column:
+    """False when no cell of the line can have a blank at one of its ends.
+
+    The csv parser itself drops blanks around cells, quoted or not.  What it keeps are
+    blanks next to the inner side of a quote, and spaces beyond ASCII.
+    """
+
+    def beside_quote(blank: str) -> Column:
+        if blank != separator:
+            return line.contains(quote + blank) | line.contains(blank + quote)
+        # a tab between two cells is next to a quote without being inside of it
+        return (
+            line.contains(blank + quote + blank)
+            | line.startswith(quote + blank)
+            | line.endswith(blank + quote)
+        )
+
+    wide = (F.octet_length(line) != F.char_length(line)) & _any(line.contains(c) for c in WIDE_BLANKS)
+    # most lines have none of the rarer blanks at all, and one look per blank shows it
+    rarer = [c for c in ASCII_BLANKS if c != " "]
+    narrow = beside_quote(" ") | _any(line.contains(c) & beside_quote(c) for c in rarer)
+    return wide | (line.contains(quote) & narrow)
 
 
 # Spellings that other csv parsers use for the same settings.
@@ -146,11 +232,13 @@ def parse_csv_lines(
     ignore_empty: bool = True,
     check_width: bool = False,
     extra_args: Mapping[str, object] | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """Each line parsed by itself into trimmed strings.
 
     Not ok: a line without any value, a quoted cell that never ends and, with
-    ``check_width``, a line with more or fewer cells than ``fields``.
+    ``check_width``, a line with more or fewer cells than ``fields``.  Without ``strict``
+    open quotes are not looked for, and blanks inside quotes or beyond ASCII stay.
     """
     options = {
         "sep": separator,
@@ -169,42 +257,51 @@ def parse_csv_lines(
         lines = lines.where(~F.col("value").startswith(comment))
 
     cells = [f"_c{index}" for index in range(len(fields))]
-    kinds = [f"{cell} string" for cell in cells]
-    if check_width:
-        options["columnNameOfCorruptRecord"] = "_width"
-        kinds.append("_width string")
-    parsed = lines.select(
-        "value",
-        "source",
-        F.inline(F.array(F.from_csv(F.col("value"), ", ".join(kinds), options))),
-    )
-    trimmed = parsed.select(
-        "value",
-        "source",
-        *[F.nullif(trim_cell(F.col(cell)), F.lit("")).alias(cell) for cell in cells],
-        *(["_width"] if check_width else []),
-    )
-    present = F.coalesce(*[F.col(cell) for cell in cells])
+    kinds = ", ".join(f"{cell} string" for cell in [*cells, "_width"])
+    options["columnNameOfCorruptRecord"] = "_width"
+    text = F.col("value")
+    sep, quote, escape = options["sep"], options["quote"], options["escape"]
+    parsed = F.from_csv(text, kinds, options)
+    rows = F.array(F.struct(parsed.alias("_cells")))
+    if strict:
+
+        def tidy(record: Column) -> Column:
+            # empty cells are null already; only trimming can make another one empty
+            trimmed = [F.nullif(trim_cell(record.getField(c)), F.lit("")).alias(c) for c in cells]
+            width = record.getField("_width").alias("_width")
+            return F.struct(F.struct(*trimmed, width).alias("_cells"))
+
+        # computed below the generator, in compiled code
+        lines = lines.select("value", "source", _blank_edges(text, sep, quote).alias("_blanks"))
+        rows = F.when(F.col("_blanks"), F.transform(F.array(parsed), tidy)).otherwise(rows)
+    lines = lines.select("value", "source", F.inline(rows))
+    values = [F.col(f"_cells.{cell}") for cell in cells]
+    present = F.coalesce(*values)
     if remove_header:
         # a header repeats, in any order, the names of the cells that it fills
-        names = F.array(*[F.when(F.col(c).isNotNull(), F.lit(f)) for c, f in zip(cells, fields)])
-        values = F.array(*[F.col(cell) for cell in cells])
+        names = F.array(*[F.when(v.isNotNull(), F.lit(f)) for v, f in zip(values, fields)])
         header = present.isin(*fields) & (
-            F.array_sort(F.array_compact(values)) == F.array_sort(F.array_compact(names))
+            F.array_sort(F.array_compact(F.array(*values))) == F.array_sort(F.array_compact(names))
         )
-        trimmed = trimmed.where(~F.coalesce(header, F.lit(False)))
-
-    ok = ~_unclosed_quote(F.col("value"), options["sep"], options["quote"], options["escape"])
-    if ignore_empty:
-        ok = ok & present.isNotNull()
-    else:
-        ok = ok & (F.col("value") != "")
+        lines = lines.where(~F.coalesce(header, F.lit(False)))
+
+    ok = present.isNotNull() if ignore_empty else text != ""
+    if strict:
+        # every quote that opens or closes a cell is gone from the parsed cells; if none is
+        # left there and the line has an even number, then all are paired
+        quotes = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(quote), F.lit("")))
+        doubtful = (
+            (quotes % (2 * len(quote.encode())) != 0)
+            | F.concat_ws("", *values).contains(quote)
+            | F.col("_cells._width").isNotNull()
+        )
+        ok = ok & ~(text.contains(quote) & doubtful & _unclosed_quote(text, sep, quote, escape))
     if check_width:
-        ok = ok & F.col("_width").isNull()
+        ok = ok & F.col("_cells._width").isNull()
     record = F.struct(
         *[
-            (F.col(cell) if ignore_empty else F.coalesce(F.col(cell), F.lit(""))).alias(name)
-            for cell, name in zip(cells, fields)
+            (value if ignore_empty else F.coalesce(value, F.lit(""))).alias(name)
+            for value, name in zip(values, fields)
         ]
     )
-    return trimmed.select("value", "source", record.alias("record"), ok.alias("ok"))
+    return lines.select("value", "source", record.alias("record"), ok.alias("ok"))

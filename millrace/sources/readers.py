@@ -12,7 +12,7 @@ from millrace.functions.project import column
 from millrace.options import OptionError, ReadOptions
 from millrace.session import adopt, sized_session
 from millrace.sources.lines import read_lines, source_struct
-from millrace.sources.parse import json_elements, parse_csv_lines, parse_json_lines
+from millrace.sources.parse import parse_csv_lines, parse_json_documents, parse_json_lines
 from millrace.sources.policy import apply_policy, mark_rejects, record_columns, source_name, split_rejects
 
 Schema = T.StructType | str | None
@@ -63,6 +63,7 @@ def parsed_lines(
     streaming: bool = False,
     limits: dict | None = None,
     sampling_ratio: float = 1.0,
+    source: bool = True,
 ) -> DataFrame:
     """``value, source, record, ok`` for every record below the path."""
     lines = read_lines(
@@ -72,6 +73,7 @@ def parsed_lines(
         line_delimiter=options.line_delimiter,
         size=None if options.file_per_slice and options.compression != "none" else options.size,
         whole=options.format == "json",
+        source=source,
         streaming=streaming,
         limits=limits,
     )
@@ -88,13 +90,14 @@ def parsed_lines(
             ignore_empty=options.ignore_empty,
             check_width=options.check_width,
             extra_args=options.extra_args,
+            strict=options.strict,
         )
     if schema is None:
         if streaming:
             raise OptionError("a stream needs a schema (or 'variant')")
         schema = infer_schema(lines, sampling_ratio)
     if options.format == "json":
-        lines = json_elements(lines)
+        return parse_json_documents(lines, schema)
     return parse_json_lines(lines, schema)
 
 
@@ -121,7 +124,8 @@ def read(
         if schema is None or schema == "variant":
             raise OptionError("strict=False needs a schema")
         return _select(_native_json(spark, options, schema, source), options, source)
-    parsed = parsed_lines(spark, options, schema, sampling_ratio=sampling_ratio)
+    needed = source is not None or rejects is True
+    parsed = parsed_lines(spark, options, schema, sampling_ratio=sampling_ratio, source=needed)
     if rejects == "column":
         return mark_rejects(parsed, source)
     if rejects:

@@ -29,5 +29,8 @@ def read_stream(
         limits["maxFilesPerTrigger"] = files_per_batch
     if bytes_per_batch:
         limits["maxBytesPerTrigger"] = bytes_per_batch
-    parsed = parsed_lines(spark, options, schema, streaming=True, limits=limits)
-    return apply_policy(parsed, options.on_reject, str(options.path), source_name(with_source))
+    source = source_name(with_source)
+    parsed = parsed_lines(
+        spark, options, schema, streaming=True, limits=limits, source=source is not None
+    )
+    return apply_policy(parsed, options.on_reject, str(options.path), source)
