@@ -115,9 +115,11 @@ def send(df: DataFrame, options: WriteOptions, *, batch: int | None = None) -> i
     """Write every record of ``df`` and return how many there were."""
     spark = df.sparkSession
     counts = Observation()
-    counted = df.observe(counts, F.count(F.lit(1)).alias("records"))
-    rows, writer_options = _body_rows(_arranged(counted, options), options)
+    # counted in the stage that writes: a repeated task of that stage is not counted twice
+    counted = _arranged(df, options).observe(counts, F.count(F.lit(1)).alias("records"))
+    rows, writer_options = _body_rows(counted, options)
     writer = rows.write.options(**writer_options)
+    writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if options.dynamic_routing:
         writer = writer.partitionBy(options.route_col)
 

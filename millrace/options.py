@@ -175,8 +175,9 @@ class WriteOptions:
     #: bound of one json array or lz4 frame, measured before compression
     bytes_per_file: int = 64 * 1024 * 1024
     concurrency: int = 10
-    #: first number used in the file names, or the number of the stream batch
-    first_slice: int = 0
+    #: first number used in the file names; None counts from 0 and also removes files that
+    #: an earlier export of the same id left with higher numbers, so that a rerun replaces it
+    first_slice: int | None = None
 
     def __post_init__(self) -> None:
         _text("path", self.path, optional=False)
@@ -201,6 +202,11 @@ class WriteOptions:
             _choice("layout", self.layout, ("plain", "hive"))
         if self.naming is not None:
             _choice("naming", self.naming, ("exact", "direct"))
+        _need(
+            self.first_slice is None
+            or (isinstance(self.first_slice, int) and not isinstance(self.first_slice, bool) and self.first_slice >= 0),
+            "first_slice must be a number from 0 on",
+        )
         for name in ("files", "records_per_file"):
             value = getattr(self, name)
             _need(

@@ -52,17 +52,22 @@ def route_folder(part: str, route_col: str | None, layout: str) -> str:
     return posixpath.normpath(value).strip("/") if value.strip("/") else ""
 
 
-def _next_free(files: Files, folder: str, options: WriteOptions) -> int:
-    """Appended files are ``<id><ext>``, ``<id>-1<ext>``, ...: the first unused number."""
+def _numbered(files: Files, folder: str, options: WriteOptions, number: str) -> dict[int, str]:
+    """The files of this id in ``folder`` by their number; ``number`` is how it is written."""
     tail = suffix(options.format, options.compression, options.extension)
-    pattern = re.compile(re.escape(options.id) + r"(?:-(\d+))?" + re.escape(tail) + r"\Z")
-    used = [-1]
+    pattern = re.compile(re.escape(options.id) + number + re.escape(tail) + r"\Z")
+    found = {}
     if files.exists(folder):
         for name, _ in files.names(folder):
-            found = pattern.match(name)
-            if found:
-                used.append(int(found.group(1) or 0))
-    return max(used) + 1
+            match = pattern.match(name)
+            if match:
+                found[int(match.group(1) or 0)] = posixpath.join(folder, name)
+    return found
+
+
+def _next_free(files: Files, folder: str, options: WriteOptions) -> int:
+    """Appended files are ``<id><ext>``, ``<id>-1<ext>``, ...: the first unused number."""
+    return max([-1, *_numbered(files, folder, options, r"(?:-(\d+))?")]) + 1
 
 
 def publish(
@@ -91,21 +96,27 @@ def publish(
         for depth in sorted({folder for folder in groups} | {""}):
             for old in files.glob(posixpath.join(options.path, depth, f"{stem}.*{tail}")):
                 files.remove(old)
+    replaces = options.file_per_slice and options.first_slice is None and batch is None
+    stale: list[str] = []
     for folder, parts in groups.items():
         target = posixpath.join(options.path, folder)
         free = 0 if options.file_per_slice else _next_free(files, target, options)
         for index, part in enumerate(parts):
             if options.file_per_slice:
                 name = file_name(
-                    target, stem, file_per_slice=True, slice_count=options.first_slice + index, **naming
+                    target, stem, file_per_slice=True, slice_count=(options.first_slice or 0) + index, **naming
                 )
             else:
                 number = free + index
                 name = file_name(target, stem if number == 0 else f"{stem}-{number}", **naming)
             moves.append((posixpath.join(staging, part), name))
+        if replaces:
+            earlier = _numbered(files, target, options, r"\.(\d+)")
+            stale += [path for number, path in earlier.items() if number >= len(parts)]
         files.make_directory(target)
     with ThreadPoolExecutor(_MOVERS) as movers:
         list(movers.map(lambda move: files.replace(*move), moves))
+        list(movers.map(files.remove, stale))
     return [name for _, name in moves]
 
 

@@ -77,6 +77,11 @@ class Files:
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         self.root = self.path(root)
         self._fs = self.root.getFileSystem(self._conf)
+        hadoop = self._jvm.org.apache.hadoop.fs
+        self._context = hadoop.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        rename = getattr(hadoop, "Options$Rename")
+        self._overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+        self._overwrite[0] = rename.OVERWRITE
 
     def path(self, text: str):
         return self._jvm.org.apache.hadoop.fs.Path(text)
@@ -88,10 +93,7 @@ class Files:
         return self._fs.exists(self.path(text))
 
     def is_symlink(self, text: str) -> bool:
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            self._fs.getUri(), self._conf
-        )
-        return context.getFileLinkStatus(self.path(text)).isSymlink()
+        return self._context.getFileLinkStatus(self.path(text)).isSymlink()
 
     def is_directory(self, text: str) -> bool:
         return self._fs.getFileStatus(self.path(text)).isDirectory()
@@ -122,11 +124,8 @@ class Files:
             raise OSError(f"cannot create {text}")
 
     def replace(self, source: str, target: str) -> None:
-        goal = self.path(target)
-        if self._fs.exists(goal):
-            self._fs.delete(goal, False)
-        if not self._fs.rename(self.path(source), goal):
-            raise OSError(f"cannot move {source} to {target}")
+        """Move a file over whatever has the name; one step where the file system can."""
+        self._context.rename(self.path(source), self.path(target), self._overwrite)
 
     def remove(self, text: str) -> None:
         self._fs.delete(self.path(text), True)

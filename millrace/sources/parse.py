@@ -191,6 +191,10 @@ def _unclosed_quote(line: Column, separator: str, quote: str, escape: str) -> Co
     return line.rlike(f"(?s)\\A(?:{cell}{sep})*+{opened}\\z")
 
 
+def _one_of(chars: Sequence[str]) -> str:
+    return "[" + "".join(_literal(char) for char in chars) + "]"
+
+
 def _any(tests: Iterable[Column]) -> Column:
     return reduce(or_, tests)
 
@@ -202,20 +206,23 @@ def _blank_edges(line: Column, separator: str, quote: str) -> Column:
     blanks next to the inner side of a quote, and spaces beyond ASCII.
     """
 
-    def beside_quote(blank: str) -> Column:
-        if blank != separator:
-            return line.contains(quote + blank) | line.contains(blank + quote)
+    # few and small expressions: a large generated method would not be compiled
+    wide = (F.octet_length(line) != F.char_length(line)) & line.rlike(_one_of(WIDE_BLANKS))
+    rarer = [c for c in ASCII_BLANKS if c != " " and c != separator]
+    blank, q = _one_of(rarer), _literal(quote)
+    narrow = (
+        line.contains(quote + " ")
+        | line.contains(" " + quote)
+        | (_any(line.contains(c) for c in rarer) & line.rlike(f"{q}{blank}|{blank}{q}"))
+    )
+    if separator in ASCII_BLANKS:
         # a tab between two cells is next to a quote without being inside of it
-        return (
-            line.contains(blank + quote + blank)
-            | line.startswith(quote + blank)
-            | line.endswith(blank + quote)
+        narrow = (
+            narrow
+            | line.contains(separator + quote + separator)
+            | line.startswith(quote + separator)
+            | line.endswith(separator + quote)
         )
-
-    wide = (F.octet_length(line) != F.char_length(line)) & _any(line.contains(c) for c in WIDE_BLANKS)
-    # most lines have none of the rarer blanks at all, and one look per blank shows it
-    rarer = [c for c in ASCII_BLANKS if c != " "]
-    narrow = beside_quote(" ") | _any(line.contains(c) & beside_quote(c) for c in rarer)
     return wide | (line.contains(quote) & narrow)
 
 
@@ -280,9 +287,7 @@ def parse_csv_lines(
     if remove_header:
         # a header repeats, in any order, the names of the cells that it fills
         names = F.array(*[F.when(v.isNotNull(), F.lit(f)) for v, f in zip(values, fields)])
-        header = present.isin(*fields) & (
-            F.array_sort(F.array_compact(F.array(*values))) == F.array_sort(F.array_compact(names))
-        )
+        header = present.isin(*fields) & (F.sort_array(F.array(*values)) == F.sort_array(names))
         lines = lines.where(~F.coalesce(header, F.lit(False)))
 
     ok = present.isNotNull() if ignore_empty else text != ""

@@ -55,7 +55,32 @@ def test_empty_input_writes_nothing(data, folder, text_of):
             assert send(data.where("false"), WriteOptions(str(folder), format, compression=compression)) == 0
     assert text_of(folder) == {}
     send(data.where("false"), WriteOptions(str(folder), "csv", naming="direct", compression="gzip"))
-    assert set(text_of(folder)) <= {"_SUCCESS"}
+    assert text_of(folder) == {}
+
+
+def test_rerun_with_fewer_files_replaces_all(spark, folder, text_of):
+    export(spark.range(0, 50, 1, 5), str(folder), "ldjson", id="w")
+    export(spark.range(0, 7, 1, 2), str(folder), "ldjson", id="other")
+    export(spark.range(0, 50, 1, 2), str(folder), "ldjson", id="w")
+    names = set(text_of(folder))
+    assert names == {"w.0.ldjson", "w.1.ldjson", "other.0.ldjson", "other.1.ldjson"}
+    assert read_ldjson(spark, str(folder), "id bigint").count() == 57
+
+
+def test_hot_route_is_split_by_the_rebalance(spark, folder, text_of):
+    """Nine rows of ten share a route; adaptive execution still cuts it into several files."""
+    df = spark.range(0, 200000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.when(F.col("id") % 10 != 0, "hot").otherwise("cold").alias("route"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        export_routed(df, str(folder), "ldjson", "route", id="w")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = text_of(folder)
+    assert len([n for n in files if n.startswith("hot/")]) > 4
+    assert sum(text.count("\n") for text in files.values()) == 200000
 
 
 def test_one_header_per_file(data, folder, text_of):
