@@ -29,8 +29,16 @@ def csv_cell(value: Column, kind: T.DataType) -> Column:
         return _between_quotes(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSS" + zone))
     if isinstance(kind, T.BinaryType):
         return _between_quotes(F.base64(value))
-    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         return quoted(F.to_json(value))
+    if isinstance(kind, T.VariantType):
+        # each row has a kind of its own, and the first character of its json shows which
+        text = F.to_json(value)
+        return (
+            F.when(text.startswith('"'), quoted(F.variant_get(value, "$", "string")))
+            .when(text.startswith("{") | text.startswith("["), quoted(text))
+            .when(text != "null", text)
+        )
     return quoted(value.cast("string"))
 
 
@@ -38,6 +46,13 @@ def header_line(names: Sequence[str], separator: str) -> str:
     return separator.join('"' + name.replace('"', '""') + '"' for name in names)
 
 
+def whole_record(df: DataFrame) -> str | None:
+    """The only column, when it is a VARIANT: then it holds the record itself."""
+    if len(df.columns) == 1 and isinstance(df.schema[0].dataType, T.VariantType):
+        return df.columns[0]
+    return None
+
+
 def _extra(df: DataFrame, keep: Sequence[str]) -> list[Column]:
     return [column(name) for name in keep]
 
@@ -47,6 +62,10 @@ def _records(df: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 
 def json_text(df: DataFrame, fields: Sequence[str] = (), keep_nulls: bool = False) -> Column:
+    """The record as json.  A VARIANT record keeps its nulls, which differ from missing keys."""
+    record = whole_record(df)
+    if record is not None and not fields:
+        return F.to_json(column(record))
     return F.to_json(
         F.struct(*json_columns(df, fields)), {"ignoreNullFields": str(not keep_nulls).lower()}
     )
@@ -71,6 +90,15 @@ def render_csv(
 
     ``forbid`` names a line delimiter that must not appear inside a line.
     """
+    record = whole_record(_records(df, keep))
+    if record is not None:
+        if not fields:
+            raise ValueError("csv output of VARIANT records needs fields")
+        taken = [
+            F.variant_get(column(record), "$['" + name.replace("'", "\\'") + "']", "variant").alias(name)
+            for name in dict.fromkeys(fields)
+        ]
+        df = df.select(*taken, *_extra(df, keep))
     shown = project_fields(_records(df, keep), fields, "csv")
     if not shown.columns:
         return df.select(F.lit("").alias("value"), *_extra(df, keep)).where(F.lit(False))

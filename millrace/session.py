@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,11 +78,18 @@ class Files:
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         self.root = self.path(root)
         self._fs = self.root.getFileSystem(self._conf)
-        hadoop = self._jvm.org.apache.hadoop.fs
-        self._context = hadoop.FileContext.getFileContext(self._fs.getUri(), self._conf)
-        rename = getattr(hadoop, "Options$Rename")
-        self._overwrite = spark.sparkContext._gateway.new_array(rename, 1)
-        self._overwrite[0] = rename.OVERWRITE
+        self._gateway = spark.sparkContext._gateway
+
+    @cached_property
+    def _context(self):
+        return self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf)
+
+    @cached_property
+    def _overwrite(self):
+        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        flags = self._gateway.new_array(rename, 1)
+        flags[0] = rename.OVERWRITE
+        return flags
 
     def path(self, text: str):
         return self._jvm.org.apache.hadoop.fs.Path(text)

@@ -163,6 +163,26 @@ def ldjson_variant_events(spark, sf_dir):
     )
 
 
+@workload(EVENT_SQL)
+def variant_copy_events(spark, sf_dir):
+    """A copy job that never learns the shape of its records."""
+    first, second = scratch_folder(spark, "variant"), scratch_folder(spark, "variant")
+    export(events(spark, sf_dir), first, "ldjson")
+    export(read_ldjson(spark, first, "variant"), second, "json", compression="gzip")
+    return read_json(spark, second, EVENT_TYPE, compression="gzip")
+
+
+@workload(
+    """SELECT event_id || ',"' || event_type || '","' || replace(props, '"', '""') || '"' AS value
+       FROM events"""
+)
+def variant_csv_events(spark, sf_dir):
+    out = scratch_folder(spark, "variant")
+    export(events(spark, sf_dir), out, "ldjson")
+    records = read_ldjson(spark, out, "variant")
+    return render_csv(records, ["event_id", "event_type", "props"])
+
+
 @workload("SELECT conv_id, turn, role, text FROM conversations")
 def ldjson_delimiter_conversations(spark, sf_dir):
     """Texts with line breaks under a delimiter of three characters."""
