@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from millrace.functions.project import column, json_columns, project_fields
 from millrace.functions.text import plain_number, quoted
 
+# ISO 8601 with all six digits that a timestamp has.
+_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_ZONED_TIME = _TIME + "XXX"
+_JSON_TIMES = {"timestampFormat": _ZONED_TIME, "timestampNTZFormat": _TIME}
+
 _BARE = (T.IntegralType, T.DecimalType, T.BooleanType)
 
 
@@ -25,12 +30,12 @@ def csv_cell(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, _BARE):
         return value.cast("string")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        zone = "XXX" if isinstance(kind, T.TimestampType) else ""
-        return _between_quotes(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSS" + zone))
+        shape = _ZONED_TIME if isinstance(kind, T.TimestampType) else _TIME
+        return _between_quotes(F.date_format(value, shape))
     if isinstance(kind, T.BinaryType):
         return _between_quotes(F.base64(value))
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        return quoted(F.to_json(value))
+        return quoted(F.to_json(value, _JSON_TIMES))
     if isinstance(kind, T.VariantType):
         # each row has a kind of its own, and the first character of its json shows which
         text = F.to_json(value)
@@ -67,7 +72,8 @@ def json_text(df: DataFrame, fields: Sequence[str] = (), keep_nulls: bool = Fals
     if record is not None and not fields:
         return F.to_json(column(record))
     return F.to_json(
-        F.struct(*json_columns(df, fields)), {"ignoreNullFields": str(not keep_nulls).lower()}
+        F.struct(*json_columns(df, fields)),
+        {**_JSON_TIMES, "ignoreNullFields": str(not keep_nulls).lower()},
     )
 
 

@@ -35,7 +35,7 @@ def plain_number(value: Column) -> Column:
     return (
         F.when(whole, value.cast("bigint").cast("string"))
         .when(common, text)
-        .when((size >= 1e-6) & (size < 1e21), F.call_function("format_number", value.cast("double"), F.lit(_PLAIN)))
+        .when((size >= 1e-6) & (size < 1e21), F.call_function("format_number", text.cast("double"), F.lit(_PLAIN)))
         .otherwise(scientific)
     )
 

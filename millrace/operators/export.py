@@ -63,6 +63,8 @@ def _arranged(df: DataFrame, options: WriteOptions) -> DataFrame:
     if options.dynamic_routing:
         route = column(options.route_col)
         df = df.withColumn(options.route_col, F.nullif(route.cast("string"), F.lit("")))
+        if not options.gather_routes:
+            return df.repartition(options.files) if options.files else df
         count = [options.files] if options.files else []
         return df.hint("rebalance", *count, options.route_col)
     if options.files:

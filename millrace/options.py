@@ -167,6 +167,9 @@ class WriteOptions:
     route_col: str | None = None
     #: "plain" writes path/<route>/, "hive" writes path/<route_col>=<route>/
     layout: str | None = None
+    #: True brings the rows of a route together first (a shuffle, few files); False writes each
+    #: task's share of each route as it is (no shuffle; right when there are few routes)
+    gather_routes: bool = True
     #: "exact" renames the files to <id>[.<n>].<ext> at commit, "direct" keeps Spark's own names
     naming: str | None = None
     #: number of output files wanted; None keeps the partitions as they are
@@ -192,7 +195,13 @@ class WriteOptions:
         _text("extension", self.extension)
         _text("route_col", self.route_col)
         object.__setattr__(self, "fields", _names(self.fields))
-        for name in ("file_per_slice", "include_header", "keep_nulls", "dynamic_routing"):
+        for name in (
+            "file_per_slice",
+            "include_header",
+            "keep_nulls",
+            "dynamic_routing",
+            "gather_routes",
+        ):
             _flag(name, getattr(self, name))
         _whole_file_rule(self.compression, self.file_per_slice)
         if self.format == "json":

@@ -145,6 +145,24 @@ def ldjson_inferred_part(spark, sf_dir):
     return read_ldjson(spark, out).select("p_partkey", "p_name", "p_size")
 
 
+@workload("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at FROM events")
+def ldjson_timestamps_events(spark, sf_dir):
+    """Times keep their microseconds."""
+    out = scratch_folder(spark, "ldjson")
+    df = table(spark, sf_dir, "events").select("event_id", "ts")
+    export(df, out, "ldjson")
+    back = read_ldjson(spark, out, df.schema)
+    return back.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
+
+
+@workload("SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts FROM events")
+def csv_timestamps_events(spark, sf_dir):
+    out = scratch_folder(spark, "csv")
+    df = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    export(df, out, "csv")
+    return read_csv(spark, out, ["event_id", "ts"])
+
+
 @workload(
     """SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k
        FROM events"""
@@ -554,6 +572,14 @@ def routed_hive_events(spark, sf_dir):
     return spark.read.text(out).groupBy("event_type").agg(F.count("*").alias("records"))
 
 
+@workload(ROUTE_SQL)
+def routed_in_place_events(spark, sf_dir):
+    """Few routes: no shuffle, each task writes its share of each route."""
+    out = scratch_folder(spark, "routed")
+    export_routed(table(spark, sf_dir, "events"), out, "ldjson", "event_type", gather_routes=False)
+    return per_folder(read_raw(spark, out, with_source=True))
+
+
 @workload(
     """SELECT event_type, CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id
        FROM events"""

@@ -82,6 +82,11 @@ def test_plain_numbers(spark):
     assert column_of(spark, list(numbers), plain_number, "double") == list(numbers.values())
 
 
+def test_plain_floats(spark):
+    numbers = {0.1: "0.1", 1e-4: "0.0001", 16777216.0: "16777216", 3.0: "3"}
+    assert column_of(spark, list(numbers), plain_number, "float") == list(numbers.values())
+
+
 def lines(df):
     return [row.value for row in df.collect()]
 
@@ -114,7 +119,7 @@ def test_csv_nested_and_empty(spark):
         " timestamp'2020-01-02 03:04:05' as ts, X'0102' as bin"
     )
     assert lines(render_csv(kinds)) == [
-        'true,1.50,901,"say ""hi""","2020-01-02","2020-01-02T03:04:05.000Z","AQI="'
+        'true,1.50,901,"say ""hi""","2020-01-02","2020-01-02T03:04:05.000000Z","AQI="'
     ]
 
 
