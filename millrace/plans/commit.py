@@ -88,38 +88,53 @@ def publish(
             continue
         groups[route_folder(part, routed, options.layout_mode)].append(part)
 
-    naming = dict(format=options.format, compression=options.compression, extension=options.extension)
-    moves: list[tuple[str, str]] = []
-    stem = options.id if batch is None else f"{options.id}.{batch}"
-    if batch is not None:
-        tail = suffix(options.format, options.compression, options.extension)
-        for depth in sorted({folder for folder in groups} | {""}):
-            for old in files.glob(posixpath.join(options.path, depth, f"{stem}.*{tail}")):
-                files.remove(old)
-    replaces = options.file_per_slice and options.first_slice is None and batch is None
-    stale: list[str] = []
-    for folder, parts in groups.items():
-        target = posixpath.join(options.path, folder)
-        free = 0 if options.file_per_slice else _next_free(files, target, options)
-        for index, part in enumerate(parts):
-            if options.file_per_slice:
-                name = file_name(
-                    target, stem, file_per_slice=True, slice_count=(options.first_slice or 0) + index, **naming
-                )
-            else:
-                number = free + index
-                name = file_name(target, stem if number == 0 else f"{stem}-{number}", **naming)
-            moves.append((posixpath.join(staging, part), name))
-        if replaces:
-            earlier = _numbered(files, target, options, r"\.(\d+)")
-            stale += [path for number, path in earlier.items() if number >= len(parts)]
-        files.make_directory(target)
+    placed = [(posixpath.join(options.path, folder), parts) for folder, parts in groups.items()]
     with ThreadPoolExecutor(_MOVERS) as movers:
+        if batch is not None:
+            targets = {options.path, *[target for target, _ in placed]}
+            old = movers.map(lambda target: _of_batch(files, target, options, batch), targets)
+            list(movers.map(files.remove, [path for found in old for path in found]))
+        plans = list(movers.map(lambda item: _names(files, *item, options, batch), placed))
+        moves = [
+            (posixpath.join(staging, part), name)
+            for (_, parts), (names, _) in zip(placed, plans)
+            for part, name in zip(parts, names)
+        ]
         list(movers.map(lambda move: files.replace(*move), moves))
-        list(movers.map(files.remove, stale))
+        list(movers.map(files.remove, [path for _, stale in plans for path in stale]))
     return [name for _, name in moves]
 
 
+def _of_batch(files: Files, target: str, options: WriteOptions, batch: int) -> list[str]:
+    """What an earlier try of a stream batch left in ``target``."""
+    number = re.escape(f".{batch}") + r"\.(\d+)"
+    return list(_numbered(files, target, options, number).values())
+
+
+def _names(
+    files: Files, target: str, parts: list[str], options: WriteOptions, batch: int | None
+) -> tuple[list[str], list[str]]:
+    """Final names of the parts of one folder, and files of an earlier export to drop there."""
+    naming = dict(format=options.format, compression=options.compression, extension=options.extension)
+    stale: list[str] = []
+    if not options.file_per_slice:
+        free = _next_free(files, target, options)
+        stems = [options.id if n == 0 else f"{options.id}-{n}" for n in range(free, free + len(parts))]
+        names = [file_name(target, stem, **naming) for stem in stems]
+    else:
+        stem = options.id if batch is None else f"{options.id}.{batch}"
+        start = options.first_slice or 0
+        names = [
+            file_name(target, stem, file_per_slice=True, slice_count=start + index, **naming)
+            for index in range(len(parts))
+        ]
+        if batch is None and options.first_slice is None:
+            earlier = _numbered(files, target, options, r"\.(\d+)")
+            stale = [path for number, path in earlier.items() if number >= len(parts)]
+    files.make_directory(target)
+    return names, stale
+
+
 def drop_empty_first_part(spark: SparkSession, options: WriteOptions, folder: str) -> None:
     """Direct naming: Spark writes part 0 even when it has no rows."""
     files = Files(spark, folder)

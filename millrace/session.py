@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -54,20 +55,32 @@ def adopt(spark: SparkSession, df: DataFrame) -> DataFrame:
     return empty.union(df)
 
 
+_limits_lock = threading.Lock()
+_limits: dict[int, tuple[int, str]] = {}
+
+
 @contextmanager
 def small_methods(spark: SparkSession) -> Iterator[None]:
     """Keep generated methods below the size that the HotSpot compiler refuses.
 
     Rendering many columns makes one large method; this is the value that the Spark
-    documentation recommends for HotSpot.  The setting is put back afterwards.
+    documentation recommends for HotSpot.  The setting is put back when the last of the
+    exports that run side by side in the session is done.
     """
-    key = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "8000")
+    key, session = "spark.sql.codegen.hugeMethodLimit", id(spark._jsparkSession)
+    with _limits_lock:
+        users, before = _limits.get(session, (0, spark.conf.get(key)))
+        _limits[session] = (users + 1, before)
+        spark.conf.set(key, "8000")
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _limits_lock:
+            users, before = _limits.pop(session)
+            if users > 1:
+                _limits[session] = (users - 1, before)
+            else:
+                spark.conf.set(key, before)
 
 
 class Files:

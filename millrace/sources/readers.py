@@ -82,14 +82,16 @@ def parsed_lines(
             "value", "source", F.struct(F.col("value").alias("data")).alias("record"), F.lit(True).alias("ok")
         )
     if options.format in ("csv", "tsv"):
+        extra = dict(options.extra_args)
         return parse_csv_lines(
             lines,
-            options.fields,
+            # other parsers' names for settings of ours; given here they win
+            extra.pop("headers", options.fields),
             options.separator,
             remove_header=options.remove_header,
-            ignore_empty=options.ignore_empty,
-            check_width=options.check_width,
-            extra_args=options.extra_args,
+            ignore_empty=extra.pop("ignoreEmpty", options.ignore_empty),
+            check_width=extra.pop("checkColumn", options.check_width),
+            extra_args=extra,
             strict=options.strict,
         )
     if schema is None:

@@ -197,6 +197,16 @@ def test_csv_delimiters_and_extra_args(spark, folder):
     assert [tuple(r) for r in df.collect()] == [("2", "c")]
     path = put(folder / "more", "x", "1;2\n")
     assert rows(read_csv(spark, path, ["a", "b"], extra_args={"delimiter": ";"})) == [{"a": "1", "b": "2"}]
+    extra = {"delimiter": ";", "headers": ["x", "y", "z"], "ignoreEmpty": False}
+    assert rows(read_csv(spark, path, ["a", "b"], extra_args=extra)) == [{"x": "1", "y": "2", "z": ""}]
+    extra["checkColumn"] = True
+    assert rows(read_csv(spark, path, ["a"], extra_args=extra, on_reject="none")) == []
+
+
+def test_trusted_csv(spark, folder):
+    path = put(folder, "x", "a,b\n1, 2 \n\"x,y\",\n")
+    df = read_csv(spark, path, ["a", "b"], strict=False)
+    assert [tuple(r) for r in df.collect()] == [("1", "2"), ("x,y", None)]
 
 
 def test_line_with_break_inside_a_cell(spark, folder):

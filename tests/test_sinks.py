@@ -213,7 +213,7 @@ def test_object_paths(data, monkeypatch):
         s3_exporter(data, {"path": "bucket/x", "format": "ldjson", "file_per_slice": False})
 
 
-def test_reference_file_can_be_exported_and_left_alone(data, folder, text_of):
+def test_other_files_are_left_alone(data, folder, text_of):
     (folder / "other.csv").write_text("keep")
     export(data, str(folder), "csv", id="w")
     assert text_of(folder)["other.csv"] == "keep"
