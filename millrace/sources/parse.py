@@ -71,8 +71,19 @@ def _one_value() -> Column:
     return F.coalesce(complete & (F.size("_record") == 1), F.lit(False))
 
 
-def parse_json_lines(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """One json object per line; anything else than one complete object is not ok."""
+def _refused_text() -> Column:
+    """What a refused line said, from the parser's own columns."""
+    inside = F.length("_corrupt") - len('{"_record":[') - len('],"_end":1}')
+    text = F.substr(F.col("_corrupt"), F.lit(len('{"_record":[') + 1), inside)
+    return F.coalesce(text, F.to_json("_record"), F.lit("not one json object"))
+
+
+def parse_json_lines(lines: DataFrame, schema: T.StructType | str, exact_text: bool = True) -> DataFrame:
+    """One json object per line; anything else than one complete object is not ok.
+
+    Without ``exact_text`` the raw line does not have to travel with its record; ``value``
+    is then good enough for a message, and only for lines that are not ok.
+    """
     if schema == VARIANT:
         parsed = lines.select(
             "value",
@@ -93,8 +104,9 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     record = _nullable(_as_schema(schema))
     parsed = F.from_json(_envelope(F.col("value")), _envelope_type(record), _JSON)
     first = F.get(F.col("_record"), F.lit(0))
+    text = F.col("value") if exact_text else _refused_text()
     return lines.select("value", "source", F.inline(F.array(parsed))).select(
-        "value", "source", first.alias("record"), (_one_value() & first.isNotNull()).alias("ok")
+        text.alias("value"), "source", first.alias("record"), (_one_value() & first.isNotNull()).alias("ok")
     )
 
 

@@ -64,6 +64,7 @@ def parsed_lines(
     limits: dict | None = None,
     sampling_ratio: float = 1.0,
     source: bool = True,
+    exact_text: bool = True,
 ) -> DataFrame:
     """``value, source, record, ok`` for every record below the path."""
     lines = read_lines(
@@ -100,7 +101,7 @@ def parsed_lines(
         schema = infer_schema(lines, sampling_ratio)
     if options.format == "json":
         return parse_json_documents(lines, schema)
-    return parse_json_lines(lines, schema)
+    return parse_json_lines(lines, schema, exact_text)
 
 
 def read(
@@ -127,7 +128,7 @@ def read(
             raise OptionError("strict=False needs a schema")
         return _select(_native_json(spark, options, schema, source), options, source)
     needed = source is not None or rejects is True
-    parsed = parsed_lines(spark, options, schema, sampling_ratio=sampling_ratio, source=needed)
+    parsed = parsed_lines(spark, options, schema, sampling_ratio=sampling_ratio, source=needed, exact_text=bool(rejects))
     if rejects == "column":
         return mark_rejects(parsed, source)
     if rejects:

@@ -31,6 +31,6 @@ def read_stream(
         limits["maxBytesPerTrigger"] = bytes_per_batch
     source = source_name(with_source)
     parsed = parsed_lines(
-        spark, options, schema, streaming=True, limits=limits, source=source is not None
+        spark, options, schema, streaming=True, limits=limits, source=source is not None, exact_text=False
     )
     return apply_policy(parsed, options.on_reject, str(options.path), source)

@@ -86,6 +86,10 @@ def test_what_counts_as_one_record(spark, folder):
     path = put(folder, "x", text)
     good, bad = read_ldjson(spark, path, "a bigint", rejects=True)
     assert [r.a for r in good.collect()] == [1, 1, None, None, None]
+    for line in refused:
+        alone = put(folder / "alone", "x", line + "\n")
+        with pytest.raises(Exception, match="bad record: "):
+            read_ldjson(spark, alone, "a bigint").collect()
     assert [r.record for r in bad.collect()] == refused
 
 
