@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import packing, planes
+from millrace.llm import langid, packing, planes, simhash, suffixes
 from millrace.llm.common import documents
 
 
@@ -15,12 +16,29 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without strings of 400 bytes that occur twice."""
+    return suffixes.repeat_digest(documents(spark, sf_dir))
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written to plane files and digested from them."""
     return planes.token_digest(documents(spark, sf_dir))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under SimHash links."""
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    return langid.identify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op4_token_planes)
+    f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op4_token_planes, op8_simhash_near_dedup, op9_language_id)
 }
 SQL: dict[str, str] = {}
