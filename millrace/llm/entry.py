@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, packing, planes, simhash, suffixes
+from millrace.llm import langid, packing, planes, simhash, suffixes, toxicity
 from millrace.llm.common import documents
 
 
@@ -21,6 +21,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digest(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written to plane files and digested from them."""
     return planes.token_digest(documents(spark, sf_dir))
@@ -39,6 +44,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op4_token_planes, op8_simhash_near_dedup, op9_language_id)
+    f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op8_simhash_near_dedup, op9_language_id)
 }
 SQL: dict[str, str] = {}

@@ -74,16 +74,13 @@ def learn(train: DataFrame) -> Model:
     word_scores = np.log((table + PRIOR) / (total + PRIOR * (len(keys) + 1)))
 
     framed = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-    every = F.flatten(
-        F.array(
-            *[
-                F.transform(F.sequence(F.lit(1), F.length(framed) - n + 1), lambda i, n=n: F.substr(framed, i, F.lit(n)))
-                for n in range(1, LONGEST + 1)
-            ]
-        )
-    )
-    # a word has a letter and two marks, so up to three characters exist; longer runs ask for longer words
-    long_enough = counts.where(F.length("word") >= LONGEST - 2).select("lang", "n", F.explode(every).alias("gram"))
+    grams_of = [
+        f"transform(sequence(1, length(framed) - {n - 1}), i -> substring(framed, i, {n}))" for n in range(1, LONGEST + 1)
+    ]
+    # the shortest word has one letter and two marks
+    marked = counts.select("lang", "n", framed.alias("framed"), F.length(framed).alias("size"))
+    every = F.flatten(F.array(*[F.when(F.col("size") >= n, F.expr(x)).otherwise(F.array()) for n, x in enumerate(grams_of, 1)]))
+    long_enough = marked.select("lang", "n", F.explode(every).alias("gram"))
     grams = stored(long_enough.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     names, table = _table(_frequent(grams, "gram", MAX_GRAMS), "gram", langs)
     lengths = np.array([len(g) for g in names], int)
