@@ -232,7 +232,8 @@ def _refine(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     one = F.min(F.struct("row", "place")).alias("one")
     names = stored(items.groupBy(*KEYS).agg(F.count("*").alias("n"), one), "names")
     repeated = items.join(names.where("n > 1").select(*KEYS), list(KEYS)).select("row", "place")
-    buckets = names.groupBy(*KEYS[:3]).agg(F.count("*").alias("names")).where("names > 1")
+    # stored, so that the join below has a shuffle on either side and a large bucket can be split
+    buckets = stored(names.groupBy(*KEYS[:3]).agg(F.count("*").alias("names")).where("names > 1"), "buckets")
     return repeated, names.join(buckets, list(KEYS[:3])).select("one.row", "one.place")
 
 
