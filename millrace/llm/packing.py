@@ -19,7 +19,7 @@ from millrace.llm.tokens import encoder, vocabulary_path
 CAPACITY = 2048
 #: Appended to every document.
 END_ID = 0
-#: Pieces of one length that are ranked in one task.
+#: Pieces of one length that are ranked in one task at most; fewer if that leaves partitions idle.
 RANK_ROWS = 50_000
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
@@ -103,7 +103,8 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataF
     """
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = plan_slots(histogram, capacity)
-    salts = -(-max(histogram.values(), default=1) // RANK_ROWS)
+    most = max(histogram.values(), default=1)
+    salts = max(-(-most // RANK_ROWS), min(most, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
     before = W.partitionBy("length").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
     sums = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
