@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, packing, planes, simhash, suffixes, toxicity
+from millrace.llm import hnsw, langid, mih, packing, planes, simhash, suffixes, toxicity
 from millrace.llm.common import documents
 
 
@@ -31,6 +31,11 @@ def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_digest(documents(spark, sf_dir))
 
 
+def op5_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return mih.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under SimHash links."""
     found = simhash.near_duplicates(documents(spark, sf_dir))
@@ -43,7 +48,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op10_hnsw_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return hnsw.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op8_simhash_near_dedup, op9_language_id)
+    f.__name__: f
+    for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op5_multi_index_hashing, op8_simhash_near_dedup, op9_language_id, op10_hnsw_near_dedup)
 }
 SQL: dict[str, str] = {}
