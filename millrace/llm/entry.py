@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hnsw, langid, mih, packing, planes, simhash, suffixes, toxicity
+from millrace.llm import chat, hnsw, langid, mih, mixing, packing, planes, simhash, suffixes, toxicity
 from millrace.llm.common import documents
 
 
@@ -36,6 +36,16 @@ def op5_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mih.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op6_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of as many tokens as there are reads of all documents, at most two epochs of each source."""
+    return mixing.mixture(documents(spark, sf_dir))
+
+
+def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tool calls and results of the conversations."""
+    return chat.tool_messages(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under SimHash links."""
     found = simhash.near_duplicates(documents(spark, sf_dir))
@@ -55,6 +65,6 @@ def op10_hnsw_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op5_multi_index_hashing, op8_simhash_near_dedup, op9_language_id, op10_hnsw_near_dedup)
+    for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op5_multi_index_hashing, op6_hierarchical_mixing, op7_tool_call_linking, op8_simhash_near_dedup, op9_language_id, op10_hnsw_near_dedup)
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_hierarchical_mixing": mixing.mixture_sql(), "op7_tool_call_linking": chat.LINK_SQL}
