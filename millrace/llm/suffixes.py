@@ -52,7 +52,7 @@ _LETTERS = _mix(np.arange(1, 257, dtype=np.uint64), np.arange(257, 513, dtype=np
 
 
 class Names:
-    """Identifiers of all substrings of a buffer from GRAM bytes on."""
+    """Identifiers of all substrings of a buffer, from GRAM bytes to twice ``longest``."""
 
     def __init__(self, octets: np.ndarray, longest: int) -> None:
         self.by: dict[int, np.ndarray] = {}
@@ -65,6 +65,8 @@ class Names:
         while 2 * m <= longest:
             now, m = _mix(now[: max(0, len(now) - m)], now[m:]), 2 * m
             self.by[m] = now
+        if m < longest:  # then two names cover any substring of up to twice the longest
+            self.by[longest] = _mix(now[: max(0, len(now) - (longest - m))], now[longest - m :])
         self.sizes = np.array(sorted(self.by))
 
     def of(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -237,15 +239,16 @@ def _refine(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return repeated, names.join(buckets, list(KEYS[:3])).select("one.row", "one.place")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) as a stored table of (row, doc_id, body), bucketed by row.
+def _numbered(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """``docs`` as a stored table of (row, carried, body), bucketed by row; ``carried`` is a struct of columns.
 
     Three joins bring lists of places to the bodies; with the bodies in buckets only the lists are shuffled.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), body)
+    kept = F.struct(*[F.col(f"`{c}`") for c in carried]).alias("carried")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), kept, body)
     name = f"millrace_bodies_{uuid.uuid4().hex}"
     target = rows.repartition(n, "row").write.option("path", scratch_folder(spark, "bodies")).option("compression", "zstd")
     target.bucketBy(n, "row").saveAsTable(name)
@@ -292,23 +295,23 @@ def merged_spans(places, repeat: int) -> list[tuple[int, int]]:
     return spans
 
 
-def _cut(docs: DataFrame, repeat: int, answer, schema: str) -> DataFrame:
-    """``answer(doc_id, body, spans)`` for each row of ``docs``; a tuple in the order of ``schema``."""
+def _cut(docs: DataFrame, repeat: int, carried: list[str], answer, schema: str) -> DataFrame:
+    """(carried, and ``answer(body, spans)`` in the order of ``schema``) for each row of ``docs``."""
     if not GRAM < repeat < 1000:
         raise ValueError(f"repeats of {GRAM + 1} to 999 bytes are supported, not {repeat}")
-    bodies = _numbered(docs)
+    bodies = _numbered(docs, carried)
     found = stored(repeated_places(bodies, repeat), "repeats")
     lists = found.groupBy("row").agg(F.collect_list("place").alias("places"))
-    names = [field.split()[0] for field in schema.split(", ")]
-    kinds = {"long": pa.int64(), "string": pa.string()}
-    types = [kinds[field.split()[1]] for field in schema.split(", ")]
+    fields = [field.split() for field in schema.split(", ")]
+    names, types = ["carried", *(n for n, _ in fields)], [{"long": pa.int64(), "string": pa.string()}[t] for _, t in fields]
 
     def run(batches):
         for batch in slices(batches, "body"):
-            rows = [answer(d, body, merged_spans(places, repeat)) for d, body, places in zip(*(c.to_pylist() for c in batch.columns))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+            rows = [answer(body, merged_spans(places, repeat)) for body, places in zip(*(batch.column(k).to_pylist() for k in (1, 2)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names=names)
 
-    return bodies.join(lists, "row", "left").select("doc_id", "body", "places").mapInArrow(run, schema)
+    met = bodies.join(lists, "row", "left").select("carried", "body", "places")
+    return met.mapInArrow(run, f"carried {bodies.schema['carried'].dataType.simpleString()}, {schema}")
 
 
 def _rest(body: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -323,20 +326,25 @@ def repeat_digest(docs: DataFrame, repeat: int = REPEAT) -> DataFrame:
     rows is repeated.  Texts shorter than ``repeat`` bytes stay whole.  Other columns are ignored.
     """
 
-    def answer(doc_id, body, spans):
+    def answer(body, spans):
         removed = sum(q - p for p, q in spans)
-        return doc_id, len(body), removed, len(spans), hashlib.sha256(_rest(body, spans)).hexdigest()
+        return len(body), removed, len(spans), hashlib.sha256(_rest(body, spans)).hexdigest()
 
-    return _cut(docs, repeat, answer, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    keyed = docs.select(F.col("doc_id").cast("long"), "text")
+    found = _cut(keyed, repeat, ["doc_id"], answer, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return found.select("carried.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def remaining_texts(docs: DataFrame, repeat: int = REPEAT) -> DataFrame:
-    """(doc_id, text) of each row without its repeated bytes.
+def cut_documents(docs: DataFrame, repeat: int = REPEAT) -> DataFrame:
+    """All rows and columns of ``docs`` with texts without their repeated bytes; ``n_chars``, if there, anew.
 
-    Of a character that is removed in part, the other bytes go as well.
+    Of a character that is removed in part, the other bytes go as well.  A text that is repeated as a whole
+    becomes empty.
     """
 
-    def answer(doc_id, body, spans):
-        return doc_id, _rest(body, spans).decode("utf-8", "ignore")
+    def answer(body, spans):
+        return (_rest(body, spans).decode("utf-8", "ignore"),)
 
-    return _cut(docs, repeat, answer, "doc_id long, text string")
+    found = _cut(docs, repeat, [c for c in docs.columns if c != "text"], answer, "text string")
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return found.select(*[new.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])

@@ -19,7 +19,10 @@ TRAIN_ROWS, TRAIN_WORDS = 1600, 1500
 WINDOW, STEP = 48, 36
 #: Known words, trigram buckets, sizes of the vectors and of the state of a direction.
 VOCABULARY, BUCKETS, WIDTH, STATE = 8192, 4096, 8, 8
-EPOCHS, BATCH, RATE, SEED = 10, 128, 0.02, 11
+#: Passes over the training rows (more of them if they are too few for so many steps), windows in a step.
+EPOCHS, STEPS, BATCH, RATE, SEED = 10, 400, 128, 0.02, 11
+#: Share of the words of a step that are hidden, so that their characters have to do.
+HIDDEN = 0.3
 #: Windows that are read side by side.
 ABREAST = 4096
 
@@ -202,15 +205,18 @@ def fit(texts: list[list[str]], toxic: np.ndarray, epochs: int = EPOCHS, seed: i
     text, first, length = windows(counts)
     first = first + base[text]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
-    step, total = 0, epochs * -(-len(texts) * 3 // 2 // BATCH)
+    batch = min(BATCH, max(16, len(texts) // 8))
+    each = -(-len(texts) * 3 // 2 // batch)
+    epochs = max(epochs, -(-STEPS // each))
+    step, total = 0, epochs * each
     for epoch in range(epochs):
         score = logits(p, words, flat, first, length) + (rng.gumbel(size=len(first)) * 3 if epoch < 2 else 0)
         worst = np.lexsort((score, text))[np.append(np.flatnonzero(np.diff(text)), len(text) - 1)]
         spare = rng.permutation(len(first))
         clean = spare[toxic[text[spare]] == 0][: len(texts) // 2]
         picked = rng.permutation(np.concatenate([worst, clean]))
-        for at in range(0, len(picked), BATCH):
-            some = picked[at : at + BATCH]
+        for at in range(0, len(picked), batch):
+            some = picked[at : at + batch]
             some = some[length[some] > 0]
             if not len(some):
                 continue
@@ -219,7 +225,7 @@ def fit(texts: list[list[str]], toxic: np.ndarray, epochs: int = EPOCHS, seed: i
             used, ids = np.unique(ids, return_inverse=True)
             ids = ids.reshape(len(some), -1)
             mine = _only(words, used)
-            mine = (np.where(rng.random(len(used)) < 0.3, 0, mine[0]), *mine[1:])
+            mine = (np.where(rng.random(len(used)) < HIDDEN, 0, mine[0]), *mine[1:])
             _, g = gradients(p, mine, inputs(p, mine), ids, length[some], toxic[text[some]].astype(np.float32))
             step += 1
             pace = RATE * (1 - 0.9 * step / total) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
@@ -254,56 +260,59 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     return [list(r.words) for r in picked], np.array([r.toxic for r in picked], int)
 
 
-def score(docs: DataFrame, model: tuple[Params, pa.Array]) -> DataFrame:
-    """(key, held_out, score, predicted) for each row of ``docs`` (key, held_out, text).
+def score(rows: DataFrame, model: tuple[Params, pa.Array]) -> DataFrame:
+    """``rows`` (any one column, and ``words``) as (that column, score, predicted).
 
-    All windows of the whole text are read; the score is the chance of the worst.  Null and empty texts are
-    one window with a blank word.
+    All windows of the whole text are read; the score is the chance of the worst.  A text without words is one
+    window with a blank word.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("key", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
+    carried, words = rows.columns
+    sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         p, vocabulary = sent.value
         for batch in batches:
             for at in range(0, len(batch), 500):
                 piece = batch.slice(at, 500)
-                coded = piece.column(2).flatten().dictionary_encode()
-                counts = pc.list_value_length(piece.column(2)).to_numpy(zero_copy_only=False)
+                coded = piece.column(1).flatten().dictionary_encode()
+                counts = pc.list_value_length(piece.column(1)).to_numpy(zero_copy_only=False)
                 text, first, length = windows(counts)
                 first = first + (np.cumsum(counts) - counts)[text]
-                words = features(coded.dictionary, vocabulary)
-                found = logits(p, words, coded.indices.to_numpy(), first, length)
+                found = logits(p, features(coded.dictionary, vocabulary), coded.indices.to_numpy(), first, length)
                 worst = np.full(len(piece), -np.inf)
                 np.maximum.at(worst, text, found)
                 chance = _gate(worst)
-                columns = [piece.column(0), piece.column(1), pa.array(chance), pa.array((chance >= 0.5).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                columns = [piece.column(0), pa.array(chance), pa.array((chance >= 0.5).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=[carried, "score", "predicted"])
 
-    rows = docs.select(F.col("key").cast("long"), "held_out", words_of().alias("words"))
-    return rows.mapInArrow(run, "key long, held_out boolean, score double, predicted int")
+    kind = rows.schema[carried].dataType.simpleString()
+    return rows.mapInArrow(run, f"{carried} {kind}, score double, predicted int")
+
+
+def held_out(folds: int, held: int) -> F.Column:
+    """Whether a row is in the held-out fold: crc32 of doc_id as text.  A null doc_id is in none."""
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+    return F.coalesce(fold == held, F.lit(False))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row of ``docs`` (doc_id, text), learned from ``labels``.
 
-    Rows of the held-out fold (crc32 of doc_id as text) are not learned from; a null doc_id is not held out
-    and has no label.  Other columns are ignored, repeated rows are answered each for itself.  Without rows
-    of both classes every score is the same: 0.5 without labels, else near the only class.
+    Rows of the held-out fold are not learned from; a null doc_id has no label.  Other columns are ignored,
+    repeated rows are answered each for itself.  Without rows of both classes every score is the same: 0.5
+    without labels, else near the only class.
     """
-    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
-    marked = docs.select("doc_id", "text", F.coalesce(fold == held, F.lit(False)).alias("held_out"))
-    model = fit(*training_rows(marked.where(~F.col("held_out")), labels))
-    return score(marked.withColumnRenamed("doc_id", "key"), model).withColumnRenamed("key", "doc_id")
+    model = fit(*training_rows(docs.where(~held_out(folds, held)), labels))
+    key = F.struct(F.col("doc_id").cast("long"), held_out(folds, held).alias("held_out")).alias("key")
+    return score(docs.select(key, words_of().alias("words")), model).select("key.*", "score", "predicted")
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all columns as they are.
 
-    Decisions join rows by doc_id and text, so rows that share a doc_id are decided each for itself.
+    Each row is decided by itself as it passes, nothing is shuffled.
     """
-    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"), F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
-    model = fit(*training_rows(keyed.where(~F.col("held_out")), labels))
-    bad = score(keyed, model).where("predicted = 1").select(F.col("key").alias("bad")).distinct()
-    return docs.join(bad, F.xxhash64("doc_id", "text") == bad.bad, "left_anti")
+    model = fit(*training_rows(docs.where(~held_out(folds, held)), labels))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    clean = score(docs.select(row, words_of().alias("words")), model).where("predicted = 0")
+    return clean.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

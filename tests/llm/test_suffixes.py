@@ -43,7 +43,7 @@ def rebuilt(rng):
     bank = ["".join(rng.choices("abcdé ", k=rng.randint(20, 300))) for _ in range(5)]
     for n in range(rng.randint(2, 12)):
         text = ""
-        for _ in range(rng.randint(0, 5)):
+        for _ in range(rng.randint(0, 7)):
             part = rng.choice(bank)
             k = rng.randrange(len(part))
             text += rng.choice([part, part[:k], part[k:], part[:k] + "X" + part[k + 1 :], "z" * rng.randint(1, 90), "xy" * 40, ""])
@@ -56,15 +56,18 @@ def test_repeats_of_odd_rows(spark, docs_of, monkeypatch, piece):
     rng = random.Random(piece)
     for _ in range(5):
         rows = [(None, "k" * 70), (3, None), (3, ""), (4, "same words here " * 9), (4, "same words here " * 9), *rebuilt(rng)]
-        for repeat in (50, 97):
+        for repeat in (50, 97, 190):
             assert got(suffixes.repeat_digest(docs_of(rows), repeat)) == brute(rows, repeat)
     assert suffixes.repeat_digest(docs_of([])).collect() == []
 
 
-def test_remaining_texts_are_text(spark, docs_of):
-    rows = [(1, "é" * 300 + "tail"), (2, "start" + "é" * 300), (3, "other")]
-    left = {r.doc_id: r.text for r in suffixes.remaining_texts(docs_of(rows)).collect()}
-    assert left == {1: "tail", 2: "start", 3: "other"}
+def test_cut_documents_are_text(spark, docs_of):
+    docs = docs_of([(1, "é" * 300 + "tail"), (2, "start" + "é" * 300), (3, "other"), (4, None)])
+    left = suffixes.cut_documents(docs)
+    assert left.columns == docs.columns and dict(left.dtypes) == dict(docs.dtypes)
+    assert {r.doc_id: (r.text, r.n_chars, r.lang, r.score) for r in left.collect()} == {
+        1: ("tail", 4, "en", "x"), 2: ("start", 5, "en", "x"), 3: ("other", 5, "en", "x"), 4: ("", 0, "en", "x")
+    }
 
 
 def test_names_depend_on_content_only():
