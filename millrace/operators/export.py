@@ -16,8 +16,8 @@ from millrace.functions.render import (
     render_raw,
 )
 from millrace.options import WriteOptions
-from millrace.plans.commit import drop_empty_first_part, publish, staging_folder
-from millrace.plans.packing import LZ4_END_MARK, header_per_route, pack_files, with_header
+from millrace.plans.commit import drop_empty_first_part, earlier_files, publish, remove_earlier, staging_folder
+from millrace.plans.packing import LZ4_END_MARK, pack_files, with_header
 from millrace.session import Files, small_methods
 
 
@@ -76,7 +76,7 @@ def _body_rows(df: DataFrame, options: WriteOptions) -> tuple[DataFrame, dict[st
     """Rows as the text writer should write them, and the writer options they need."""
     lines = render(df, options)
     route = options.route_col if options.dynamic_routing else None
-    names = list(options.fields) or [
+    names = list(dict.fromkeys(options.fields)) or [
         name for name in df.columns if name != options.route_col
     ]
     header = None
@@ -87,9 +87,12 @@ def _body_rows(df: DataFrame, options: WriteOptions) -> tuple[DataFrame, dict[st
     if options.compression == "gzip":
         writer["compression"] = "gzip"
 
-    if route and (array or lz4 or header is not None):
+    headed_routes = route is not None and header is not None
+    if route and (array or lz4 or headed_routes):
         lines = lines.sortWithinPartitions(column(route))
-    if array or lz4:
+    # a routed csv with header is packed as well: the writer sorts rows by route once more, and only
+    # in a row that is a whole file the header surely stays in front
+    if array or lz4 or headed_routes:
         packed = pack_files(
             lines,
             array=array,
@@ -106,9 +109,7 @@ def _body_rows(df: DataFrame, options: WriteOptions) -> tuple[DataFrame, dict[st
         return packed, writer
     if options.records_per_file:
         writer["maxRecordsPerFile"] = str(options.records_per_file)
-    if header is not None and route:
-        lines = header_per_route(lines, route, header, options.line_delimiter, options.records_per_file)
-    elif header is not None:
+    if header is not None:
         lines = lines.select(with_header(header, options.line_delimiter, options.records_per_file).alias("value"))
     return lines, writer
 
@@ -137,10 +138,12 @@ def send(df: DataFrame, options: WriteOptions, *, batch: int | None = None) -> i
         # a stream batch owns a folder, so that a second try replaces the first
         folder = options.path if batch is None else posixpath.join(options.path, f"batch={batch}")
         mode = "append" if batch is None else "overwrite"
+        before = earlier_files(Files(spark, folder), options) if options.replace and batch is None else []
         with small_methods(spark):
             writer.mode(mode).option("mapreduce.output.basename", options.id).text(folder)
         if not options.dynamic_routing:
-            drop_empty_first_part(spark, options, folder)
+            drop_empty_first_part(spark, options, folder, set(before))
+        remove_earlier(spark, options, before)
     return counts.get["records"]
 
 

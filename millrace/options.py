@@ -16,7 +16,11 @@ COMPRESSIONS = ("none", "lz4", "gzip")
 REJECT_ACTIONS = ("throw", "log", "none")
 
 DEFAULT_LINE_DELIMITER = "\n"
-DEFAULT_SLICE_BYTES = 10_000_000
+
+# Keys of a job description that belong to the job and not to reader or writer.
+JOB_KEYS = frozenset(
+    {"_op", "_name", "_type", "_encoding", "_key", "_dead_letter_action", "api_name", "_api_name", "connection", "_connection"}
+)
 
 
 class OptionError(ValueError):
@@ -63,10 +67,13 @@ def _whole_file_rule(compression: str, file_per_slice: bool | None) -> bool:
 
 
 def _pick(cls: type, config: Mapping[str, Any], renames: Mapping[str, str]) -> dict[str, Any]:
+    """The settings of ``cls``; a job description may serve a reader and a writer, other keys are refused."""
     known = {f.name for f in dataclass_fields(cls)}
+    other = {f.name for one in (ReadOptions, WriteOptions) for f in dataclass_fields(one)} | JOB_KEYS | {"on_reject_action"}
     picked: dict[str, Any] = {}
     for key, value in config.items():
         name = renames.get(key, key)
+        _need(name in known or key in other, f"unknown setting {key!r}")
         if name in known and value is not None:
             picked[name] = value
     return picked
@@ -88,6 +95,10 @@ class ReadOptions:
     extra_args: Mapping[str, Any] = field(default_factory=dict)
     #: reject lines with more or fewer cells than ``fields`` (csv / tsv)
     check_width: bool = False
+    #: what a line with values beyond ``fields`` is: "reject" a bad record, "cut" a record without them
+    surplus: str = "reject"
+    #: list the path first and refuse files that Spark would leave out or decode by their name
+    check_names: bool = True
     #: True checks every record in full; False is for trusted input: json and ldjson use Spark's
     #: own scan, csv and tsv skip the checks for open quotes and unusual blanks
     strict: bool = True
@@ -102,11 +113,12 @@ class ReadOptions:
         _choice("format", self.format, FORMATS)
         _choice("compression", self.compression, COMPRESSIONS)
         _choice("on_reject", self.on_reject, REJECT_ACTIONS)
+        _choice("surplus", self.surplus, ("reject", "cut"))
         _text("line_delimiter", self.line_delimiter, optional=False)
         _need(self.line_delimiter != "", "line_delimiter must not be empty")
         _text("field_delimiter", self.field_delimiter)
         object.__setattr__(self, "fields", _names(self.fields))
-        for name in ("remove_header", "ignore_empty", "check_width", "strict"):
+        for name in ("remove_header", "ignore_empty", "check_width", "check_names", "strict"):
             _flag(name, getattr(self, name))
         if self.file_per_slice is not None:
             _flag("file_per_slice", self.file_per_slice)
@@ -134,7 +146,7 @@ class ReadOptions:
 
     @classmethod
     def from_config(cls, config: Mapping[str, Any]) -> "ReadOptions":
-        """Settings of a read job: ``size`` and ``file_per_slice`` get the job defaults."""
+        """Settings of a read job.  Without ``size`` Spark chooses the grain of the scan."""
         _need("path" in config, "path is required")
         _need("format" in config, "format is required")
         picked = _pick(
@@ -142,7 +154,6 @@ class ReadOptions:
             config,
             {"on_reject_action": "on_reject", "_dead_letter_action": "on_reject"},
         )
-        picked.setdefault("size", DEFAULT_SLICE_BYTES)
         picked.setdefault("file_per_slice", False)
         return cls(**picked)
 
@@ -177,10 +188,14 @@ class WriteOptions:
     records_per_file: int | None = None
     #: bound of one json array or lz4 frame, measured before compression
     bytes_per_file: int = 64 * 1024 * 1024
+    #: files that are moved to their names at the same time
     concurrency: int = 10
-    #: first number used in the file names; None counts from 0 and also removes files that
-    #: an earlier export of the same id left with higher numbers, so that a rerun replaces it
+    #: first number used in the file names: files with the same numbers are replaced, others stay.
+    #: None goes on after the highest number that the id has in the folder
     first_slice: int | None = None
+    #: True removes what earlier exports of the id left below the path, in all routes, once the
+    #: new files are there; numbers start from 0 again
+    replace: bool = False
 
     def __post_init__(self) -> None:
         _text("path", self.path, optional=False)
@@ -201,8 +216,10 @@ class WriteOptions:
             "keep_nulls",
             "dynamic_routing",
             "gather_routes",
+            "replace",
         ):
             _flag(name, getattr(self, name))
+        _need(not (self.replace and self.first_slice is not None), "replace removes all numbers: leave first_slice out")
         _whole_file_rule(self.compression, self.file_per_slice)
         if self.format == "json":
             _need(self.file_per_slice, "file_per_slice must be true for json: a file is one array")

@@ -25,9 +25,6 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Fixed value: length of a gzip member that holds nothing.
 EMPTY_GZIP_BYTES = 20
 
-_MOVERS = 16
-
-
 def staging_folder(options: WriteOptions) -> str:
     return posixpath.join(options.path, f".{options.id}-{uuid.uuid4().hex[:12]}")
 
@@ -49,7 +46,8 @@ def route_folder(part: str, route_col: str | None, layout: str) -> str:
     value = unquote(value)
     if ".." in value.split("/"):
         raise ValueError(f"route {value!r} leaves the target folder")
-    return posixpath.normpath(value).strip("/") if value.strip("/") else ""
+    folder = posixpath.normpath(value).strip("/") if value.strip("/") else ""
+    return "" if folder == "." else folder
 
 
 def _numbered(files: Files, folder: str, options: WriteOptions, number: str) -> dict[int, str]:
@@ -89,22 +87,44 @@ def publish(
         groups[route_folder(part, routed, options.layout_mode)].append(part)
 
     placed = [(posixpath.join(options.path, folder), parts) for folder, parts in groups.items()]
-    with ThreadPoolExecutor(_MOVERS) as movers:
+    before = earlier_files(files, options) if options.replace and batch is None else []
+    with ThreadPoolExecutor(max(1, int(options.concurrency))) as movers:
         if batch is not None:
             targets = {options.path, *[target for target, _ in placed]}
             old = movers.map(lambda target: _of_batch(files, target, options, batch), targets)
             list(movers.map(files.remove, [path for found in old for path in found]))
-        plans = list(movers.map(lambda item: _names(files, *item, options, batch), placed))
+        plans = movers.map(lambda item: _names(files, *item, options, batch), placed)
         moves = [
             (posixpath.join(staging, part), name)
-            for (_, parts), (names, _) in zip(placed, plans)
+            for (_, parts), names in zip(placed, plans)
             for part, name in zip(parts, names)
         ]
         list(movers.map(lambda move: files.replace(*move), moves))
-        list(movers.map(files.remove, [path for _, stale in plans for path in stale]))
+        placed_now = {name for _, name in moves}
+        list(movers.map(files.remove, [path for path in before if path not in placed_now]))
     return [name for _, name in moves]
 
 
+def earlier_files(files: Files, options: WriteOptions) -> list[str]:
+    """All files below the target that exports of this id have made, whatever their numbers or routes."""
+    if not files.exists(options.path):
+        return []
+    stem, tail = re.escape(options.id), re.escape(suffix(options.format, options.compression, options.extension))
+    if options.naming_mode == "exact":
+        name = re.compile(stem + (r"\.\d+" if options.file_per_slice else r"(?:-\d+)?") + tail + r"\Z")
+    else:
+        name = re.compile(stem + r"-\d{5,}-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}[-.][^/]*\Z")
+    listed = (path for path, _ in files.walk(options.path))
+    mine = [path for path in listed if name.match(posixpath.basename(path)) and not path.startswith(".")]
+    return [posixpath.join(options.path, path) for path in mine]
+
+
+def remove_earlier(spark: SparkSession, options: WriteOptions, before: list[str]) -> None:
+    files = Files(spark, options.path)
+    with ThreadPoolExecutor(max(1, int(options.concurrency))) as movers:
+        list(movers.map(files.remove, before))
+
+
 def _of_batch(files: Files, target: str, options: WriteOptions, batch: int) -> list[str]:
     """What an earlier try of a stream batch left in ``target``."""
     number = re.escape(f".{batch}") + r"\.(\d+)"
@@ -113,31 +133,29 @@ def _of_batch(files: Files, target: str, options: WriteOptions, batch: int) -> l
 
 def _names(
     files: Files, target: str, parts: list[str], options: WriteOptions, batch: int | None
-) -> tuple[list[str], list[str]]:
-    """Final names of the parts of one folder, and files of an earlier export to drop there."""
+) -> list[str]:
+    """Final names of the parts of one folder."""
     naming = dict(format=options.format, compression=options.compression, extension=options.extension)
-    stale: list[str] = []
     if not options.file_per_slice:
-        free = _next_free(files, target, options)
+        free = 0 if options.replace else _next_free(files, target, options)
         stems = [options.id if n == 0 else f"{options.id}-{n}" for n in range(free, free + len(parts))]
         names = [file_name(target, stem, **naming) for stem in stems]
     else:
         stem = options.id if batch is None else f"{options.id}.{batch}"
         start = options.first_slice or 0
+        if batch is None and options.first_slice is None and not options.replace:
+            start = max([-1, *_numbered(files, target, options, r"\.(\d+)")]) + 1
         names = [
             file_name(target, stem, file_per_slice=True, slice_count=start + index, **naming)
             for index in range(len(parts))
         ]
-        if batch is None and options.first_slice is None:
-            earlier = _numbered(files, target, options, r"\.(\d+)")
-            stale = [path for number, path in earlier.items() if number >= len(parts)]
     files.make_directory(target)
-    return names, stale
+    return names
 
 
-def drop_empty_first_part(spark: SparkSession, options: WriteOptions, folder: str) -> None:
+def drop_empty_first_part(spark: SparkSession, options: WriteOptions, folder: str, but: set[str]) -> None:
     """Direct naming: Spark writes part 0 even when it has no rows."""
     files = Files(spark, folder)
     for path in files.glob(posixpath.join(folder, f"{options.id}-00000-*")):
-        if _is_empty(files.length(path), options.compression):
+        if path not in but and _is_empty(files.length(path), options.compression):
             files.remove(path)

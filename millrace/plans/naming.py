@@ -5,8 +5,6 @@ from __future__ import annotations
 import posixpath
 from typing import Any
 
-from millrace.options import COMPRESSIONS, FORMATS, OptionError
-
 # What each codec adds to a name.
 CODEC_SUFFIX = {"none": "", "lz4": ".lz4", "gzip": ".gz"}
 
@@ -15,7 +13,7 @@ def suffix(format: str, compression: str = "none", extension: str | None = None)
     """The part after id and number; ``extension`` replaces it and gets its dot if it lacks one."""
     if extension is not None:
         return extension if extension == "" or extension.startswith(".") else "." + extension
-    # raw data can be anything, so it gets no format suffix
+    # `raw` names a way to read, not a kind of content
     return ("" if format == "raw" else "." + format) + CODEC_SUFFIX[compression]
 
 
@@ -29,19 +27,6 @@ def file_name(
     slice_count: Any = None,
     extension: str | None = None,
 ) -> str:
-    if not isinstance(path, str):
-        raise OptionError("path must be a string")
-    if not isinstance(id, str):
-        raise OptionError("id must be a string")
-    if not isinstance(file_per_slice, bool):
-        raise OptionError("file_per_slice must be a boolean")
-    if file_per_slice and (isinstance(slice_count, bool) or not isinstance(slice_count, int)):
-        raise OptionError("slice_count must be a number when file_per_slice is true")
-    if extension is not None and not isinstance(extension, str):
-        raise OptionError("extension must be a string")
-    if format not in FORMATS:
-        raise OptionError(f"format must be one of {', '.join(FORMATS)}")
-    if compression not in COMPRESSIONS:
-        raise OptionError(f"compression must be one of {', '.join(COMPRESSIONS)}")
+    """The name of an output file; the settings come from checked ``WriteOptions``."""
     number = f".{slice_count}" if file_per_slice else ""
     return posixpath.join(path, id) + number + suffix(format, compression, extension)

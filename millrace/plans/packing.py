@@ -1,11 +1,11 @@
 """Lines to file bodies, for outputs that are more than lines one after the other.
 
-Two kinds of output need to know where a file begins or ends: a json array and an lz4
-frame.  Both are built in Arrow tasks that see the lines of a partition in order, so no
+Some outputs need to know where a file begins or ends: a json array and an lz4
+frame.  They are built in Arrow tasks that see the lines of a partition in order, so no
 shuffle is needed; each body becomes one row and the writer puts one row in one file.
 A body is closed at ``records_per_file`` or ``bytes_per_file``, whichever comes first.
-The one other Python step is the header line of a routed csv, which has to appear at
-each change of route inside a partition.
+A routed csv with a header is the third kind: its header has to be the first line of each
+file.
 """
 
 from __future__ import annotations
@@ -45,40 +45,6 @@ def _runs(routes: pa.Array | None, rows: int) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
-def header_per_route(
-    lines: DataFrame, route: str, header: str, line_delimiter: str, records_per_file: int | None
-) -> DataFrame:
-    """Like ``with_header`` for a frame that is sorted by route inside each partition."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, count = object(), 0
-        for batch in batches:
-            values, routes = batch.column(0), batch.column(1)
-            firsts = []
-            for start, end in _runs(routes, batch.num_rows):
-                name = routes[start].as_py()
-                if name != current:
-                    current, count = name, 0
-                step = records_per_file or (1 << 62)
-                row = start + (-count) % step
-                while row < end:
-                    firsts.append(row)
-                    row += step
-                count += end - start
-            mask = pa.array([False] * batch.num_rows, pa.bool_())
-            if firsts:
-                flags = [False] * batch.num_rows
-                for row in firsts:
-                    flags[row] = True
-                mask = pa.array(flags, pa.bool_())
-            headed = pc.binary_join_element_wise(header, values, line_delimiter)
-            yield pa.RecordBatch.from_arrays(
-                [pc.if_else(mask, headed, values), routes], names=batch.schema.names
-            )
-
-    return lines.select("value", route).mapInArrow(rows, lines.select("value", route).schema)
-
-
 class _Body:
     """One json array or one lz4 frame while it grows."""
 
@@ -117,7 +83,9 @@ class _Body:
             # the writer adds the final delimiter of an uncompressed array
             self._write(b"]" + (self.delimiter if lz4 else b""))
         if not lz4:
-            return self._sink.getvalue().to_pybytes()
+            # the writer adds the last delimiter of a body of lines
+            body = self._sink.getvalue().to_pybytes()
+            return body if self.array else body[: -len(self.delimiter)]
         self._out.close()
         frame = self._sink.getvalue().to_pybytes()
         mark = LZ4_END_MARK.encode()

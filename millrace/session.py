@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -49,9 +49,7 @@ def adopt(spark: SparkSession, df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    empty = spark.range(0).selectExpr(
-        *[f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema]
-    )
+    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
     return empty.union(df)
 
 
@@ -132,12 +130,16 @@ class Files:
 
     def walk(self, text: str) -> list[tuple[str, int]]:
         """Path relative to ``text`` and length of every file below it."""
+        return [(path, length) for path, length, _ in self.walk_with_times(text)]
+
+    def walk_with_times(self, text: str) -> list[tuple[str, int, int]]:
+        """``walk`` with the time of the last change in milliseconds."""
         base = self._fs.makeQualified(self.path(text)).toString().rstrip("/") + "/"
         found = []
         remote = self._fs.listFiles(self.path(text), True)
         while remote.hasNext():
             status = remote.next()
-            found.append((status.getPath().toString().removeprefix(base), status.getLen()))
+            found.append((status.getPath().toString().removeprefix(base), status.getLen(), status.getModificationTime()))
         return found
 
     def make_directory(self, text: str) -> None:

@@ -1,27 +1,55 @@
-"""A look at the source before the job starts.  Driver only, one directory listing."""
+"""A look at the source before the job starts: names only, on the driver."""
 
 from __future__ import annotations
 
-import logging
+import posixpath
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
+from millrace.options import ReadOptions
 from millrace.session import Files
 
-log = logging.getLogger("millrace")
+# What Spark's own writers leave beside data.
+_MARKS = ("_SUCCESS", "_temporary", "_spark_metadata", "_metadata", "_common_metadata")
+# Endings that make Spark's scan decode a file, and may give no rows for a file that is plain text.
+_CODEC_NAMES = (".lz4", ".snappy", ".deflate", ".zst")
 
 
 class SourceError(ValueError):
     """The path cannot be read as a source."""
 
 
-def check_source(spark: SparkSession, path: str) -> None:
-    """Refuse a path that is missing, no directory, empty, or (local) a symbolic link.
+def _hidden(name: str) -> bool:
+    parts = [part for part in name.split("/") if part not in _MARKS]
+    return not any(part.startswith(".") for part in parts) and any(part.startswith("_") and "=" not in part for part in parts)
+
+
+def refuse_unread(spark: SparkSession, options: ReadOptions) -> None:
+    """Fail with their names if there are files whose records would not come back.
 
-    Spark never lists names that start with an underscore; when the directory holds such
-    files they are named in a warning, so that the gap does not go unnoticed.
+    Spark does not list names that begin with an underscore, at any depth, and without a compression setting
+    it still decodes by name.  ``check_names=False`` leaves the listing out.  A stream looks when it starts.
     """
+    if not options.check_names:
+        return
+    for path in [options.path] if isinstance(options.path, str) else options.path:
+        files = Files(spark, path)
+        if not files.exists(path):
+            continue
+        names = [name for name, _ in files.walk(path)] if files.is_directory(path) else [posixpath.basename(path)]
+        unread = [name for name in names if _hidden(name)]
+        if options.compression == "none":
+            unread += [name for name in names if name.endswith(_CODEC_NAMES) and name not in unread]
+        if unread:
+            shown = ", ".join(sorted(unread)[:20]) + (", ..." if len(unread) > 20 else "")
+            raise SourceError(
+                f"{len(unread)} files below {path!r} would not be read as they are, because of their names: {shown}"
+            )
+
+
+def check_source(spark: SparkSession, path: str) -> None:
+    """Refuse a path that is missing, no directory, empty, or (local) a symbolic link."""
     files = Files(spark, path)
     if not files.exists(path):
         raise SourceError(f"path {path!r} does not exist")
@@ -29,9 +57,5 @@ def check_source(spark: SparkSession, path: str) -> None:
         raise SourceError(f"path {path!r} must not be a symbolic link")
     if not files.is_directory(path):
         raise SourceError(f"path {path!r} is not a directory")
-    names = [name for name, _ in files.names(path)]
-    if not names:
+    if not files.names(path):
         raise SourceError(f"path {path!r} is empty")
-    unseen = [n for n in names if n.startswith("_") and "=" not in n and n != "_SUCCESS"]
-    if unseen:
-        log.warning("%s: Spark does not read names with a leading underscore: %s", path, unseen)

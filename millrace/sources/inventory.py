@@ -2,32 +2,72 @@
 
 from __future__ import annotations
 
+import datetime
+import posixpath
+import re
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.paths import is_readable_path
 from millrace.session import Files
 
+_LISTED = "key string, size long, modified timestamp"
+
+
+def _opened(root: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", root))
+
+
+def _is_checksum(key: str) -> bool:
+    """A file that Hadoop keeps beside a local file, and hides."""
+    name = posixpath.basename(key)
+    return name.startswith(".") and name.endswith(".crc")
+
+
+def _listed_in_tasks(spark: SparkSession, root: str, tops: list[str]) -> DataFrame:
+    """Each entry of the top folder is listed by a task of its own."""
+
+    def rows(batches):
+        for batch in batches:
+            for top in batch.column("top").to_pylist():
+                store, base = _opened(root)
+                here = store.get_file_info(posixpath.join(base, top))
+                found = [here] if here.is_file else store.get_file_info(fs.FileSelector(here.path, recursive=True))
+                base = base.rstrip("/") + "/"
+                files = [(x.path.removeprefix(base), x.size, x.mtime) for x in found if x.is_file]
+                files = [x for x in files if not _is_checksum(x[0])]
+                for at in range(0, len(files), 10_000):
+                    columns = list(zip(*files[at : at + 10_000]))
+                    kinds = (pa.string(), pa.int64(), pa.timestamp("us", "UTC"))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "size", "modified"])
+
+    entries = spark.createDataFrame([(top,) for top in tops], "top string")
+    return entries.repartition(max(1, min(len(tops), 1000))).mapInArrow(rows, _LISTED)
+
 
 def file_inventory(
     spark: SparkSession, path: str, start_after: str | None = None, prefix: str | None = None
 ) -> DataFrame:
-    """``path, key, size, modified, readable`` per file; ``key`` is relative to ``path``.
+    """``path, key, size, modified, readable`` of every file; ``key`` is relative to ``path``.
 
-    ``start_after`` keeps the keys that sort after it, ``prefix`` those that start with it.
+    Empty files and names that begin with a dot or an underscore are listed as well.  ``start_after`` keeps the
+    keys that sort after it, ``prefix`` those that start with it.  Stores that only Hadoop knows are listed by
+    the driver.
     """
-    root = Files(spark, path).qualified(path).rstrip("/") + "/"
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
-    )
-    inventory = listed.select(
-        "path",
-        F.substring(F.col("path"), len(root) + 1, 2**31 - 1).alias("key"),
-        "size",
-        "modified",
-    ).withColumn("readable", is_readable_path(F.col("key")))
+    files = Files(spark, path)
+    root = re.sub(r"^file:/(?!/)", "file:///", files.qualified(path).rstrip("/"))
+    tops = [name for name, _ in files.names(path)]
+    try:
+        _opened(root)
+        listed = _listed_in_tasks(spark, root, tops)
+    except (OSError, pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        zone = datetime.timezone.utc
+        rows = [(key, size, datetime.datetime.fromtimestamp(at / 1000, zone)) for key, size, at in files.walk_with_times(path)]
+        listed = spark.createDataFrame(rows, _LISTED)
+    inventory = listed.select(F.concat(F.lit(root + "/"), "key").alias("path"), "key", "size", "modified")
+    inventory = inventory.withColumn("readable", is_readable_path(F.col("key")))
     if start_after is not None:
         inventory = inventory.where(F.col("key") > start_after)
     if prefix is not None:

@@ -25,10 +25,16 @@ _GZ_NAMES = "*.gz"
 _OTHER_NAMES = "{*[^z],*[^g]z,*[^.]gz,z,gz}"
 
 
+def file_path() -> Column:
+    """The path of a scanned file as it is called; the scan tells it in the spelling of an address."""
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:///")
+
+
 def source_struct() -> Column:
     """Where a row of a file scan comes from: file, split offset and length, file size."""
     return F.struct(
-        F.col("_metadata.file_path").alias("path"),
+        file_path().alias("path"),
         F.col("_metadata.file_block_start").alias("offset"),
         F.col("_metadata.file_block_length").alias("length"),
         F.col("_metadata.file_size").alias("total"),
@@ -72,7 +78,7 @@ def _decoded_lines(reader, path, codec: str, delimiter: str, whole: bool, source
         lines = files.select("content").mapInArrow(rows, "value string")
         return lines.select("value", F.lit(None).cast(SOURCE_TYPE).alias("source"))
     origin = F.struct(
-        F.col("_metadata.file_path").alias("path"),
+        file_path().alias("path"),
         F.lit(0).cast("bigint").alias("offset"),
         F.col("length"),
         F.col("length").alias("total"),

@@ -127,7 +127,8 @@ def parse_json_documents(documents: DataFrame, schema: T.StructType | str) -> Da
     fit = F.from_json(_envelope(listed), _envelope_type(T.ArrayType(record)), _JSON)
     items = F.get(F.col("_record"), F.lit(0))
     clean = _one_value() & items.isNotNull() & (is_array | (F.size(items) == 1))
-    judged_type = f"array<struct<value:string,record:{record.simpleString()},ok:boolean>>"
+    judged = [T.StructField("value", T.StringType()), T.StructField("record", record), T.StructField("ok", T.BooleanType())]
+    judged_type = T.ArrayType(T.StructType(judged))
 
     def as_fit(item: Column) -> Column:
         shown = F.when(item.isNull(), F.lit("null"))
@@ -238,6 +239,17 @@ def _blank_edges(line: Column, separator: str, quote: str) -> Column:
     return wide | (line.contains(quote) & narrow)
 
 
+def _cells_of(line: Column, separator: str, quote: str, escape: str, ignore_empty: bool) -> Column:
+    """Cells of a line; without those at its end that are empty, if empty cells are no values."""
+    q, e, sep = _literal(quote), _literal(escape), _literal(separator)
+    inside = f"(?:[^{q}]|{q}{q})*+" if quote == escape else f"(?:[^{q}{e}]|{e}.)*+"
+    # a cell in quotes counts as one sign, whatever separators it holds
+    bare = F.regexp_replace(line, f"(?s)(^|{sep})\\s*{q}{inside}{q}", "$1x")
+    if ignore_empty:
+        bare = F.regexp_replace(bare, f"(?:{sep}|\\s)+$", "")
+    return F.regexp_count(bare, F.lit(sep)) + 1
+
+
 # Spellings that other csv parsers use for the same settings.
 _CSV_ALIASES = {"delimiter": "sep", "separator": "sep"}
 
@@ -250,13 +262,15 @@ def parse_csv_lines(
     remove_header: bool = True,
     ignore_empty: bool = True,
     check_width: bool = False,
+    surplus: str = "reject",
     extra_args: Mapping[str, object] | None = None,
     strict: bool = True,
 ) -> DataFrame:
     """Each line parsed by itself into trimmed strings.
 
-    Not ok: a line without any value, a quoted cell that never ends and, with
-    ``check_width``, a line with more or fewer cells than ``fields``.  Without ``strict``
+    Not ok: a line without any value, a quoted cell that never ends, a line with values beyond
+    ``fields`` (unless ``surplus`` is "cut") and, with ``check_width``, a line with more or fewer
+    cells than ``fields``.  Without ``strict``
     open quotes are not looked for, and blanks inside quotes or beyond ASCII stay.
     """
     options = {
@@ -297,8 +311,10 @@ def parse_csv_lines(
     values = [F.col(f"_cells.{cell}") for cell in cells]
     present = F.coalesce(*values)
     if remove_header:
-        # a header repeats, in any order, the names of the cells that it fills
-        names = F.array(*[F.when(v.isNotNull(), F.lit(f)) for v, f in zip(values, fields)])
+        # a header repeats, in any order, the names of the cells that it fills; where empty cells are
+        # values, it has to fill all of them
+        filled = [F.when(v.isNotNull(), F.lit(f)) if ignore_empty else F.lit(f) for v, f in zip(values, fields)]
+        names = F.array(*filled)
         header = present.isin(*fields) & (F.sort_array(F.array(*values)) == F.sort_array(names))
         lines = lines.where(~F.coalesce(header, F.lit(False)))
 
@@ -315,6 +331,9 @@ def parse_csv_lines(
         ok = ok & ~(text.contains(quote) & doubtful & _unclosed_quote(text, sep, quote, escape))
     if check_width:
         ok = ok & F.col("_cells._width").isNull()
+    elif surplus == "reject":
+        beyond = _cells_of(text, sep, quote, escape, ignore_empty) > len(fields)
+        ok = ok & ~F.when(F.col("_cells._width").isNotNull(), beyond).otherwise(False)
     record = F.struct(
         *[
             (value if ignore_empty else F.coalesce(value, F.lit(""))).alias(name)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from millrace.functions.project import column
 from millrace.options import OptionError, ReadOptions
 from millrace.session import adopt, sized_session
+from millrace.sources.check import refuse_unread
 from millrace.sources.lines import read_lines, source_struct
 from millrace.sources.parse import parse_csv_lines, parse_json_documents, parse_json_lines
 from millrace.sources.policy import apply_policy, mark_rejects, record_columns, source_name, split_rejects
@@ -37,6 +38,7 @@ def _native_json(
 
     It is lenient about text after the first object of a line and about blank lines.
     """
+    refuse_unread(spark, options)
     session = spark if options.size is None else sized_session(spark, options.size)
     reader = session.read.schema(schema).options(
         mode="FAILFAST",
@@ -67,6 +69,7 @@ def parsed_lines(
     exact_text: bool = True,
 ) -> DataFrame:
     """``value, source, record, ok`` for every record below the path."""
+    refuse_unread(spark, options)
     lines = read_lines(
         spark,
         options.path,
@@ -92,6 +95,7 @@ def parsed_lines(
             remove_header=options.remove_header,
             ignore_empty=extra.pop("ignoreEmpty", options.ignore_empty),
             check_width=extra.pop("checkColumn", options.check_width),
+            surplus=options.surplus,
             extra_args=extra,
             strict=options.strict,
         )
@@ -142,7 +146,7 @@ def read(
 
 
 def _select(df: DataFrame, options: ReadOptions, source: str | None) -> DataFrame:
-    """json readers may name the top-level fields they want; the scan is pruned to them."""
+    """json readers may name the top-level fields they want; with ``strict=False`` the scan is pruned to them."""
     if options.format not in ("json", "ldjson") or not options.fields:
         return df
     names = [name for name in dict.fromkeys(options.fields) if name in df.columns]

@@ -621,7 +621,7 @@ def slices_export_orders(spark, sf_dir):
     done = F.col("o_orderstatus") == "F"
     export(df.where(done), out, "ldjson", id="done")
     for _ in range(2):
-        export(df.where(~done), out, "ldjson", id="open")
+        export(df.where(~done), out, "ldjson", id="open", replace=True)
     return read_ldjson(spark, out, ORDER_TYPE)
 
 
@@ -644,6 +644,141 @@ def direct_names_orders(spark, sf_dir):
     return read_ldjson(spark, out, ORDER_TYPE)
 
 
+@workload(ORDER_SQL)
+def two_batches_orders(spark, sf_dir):
+    """One job description, two batches: the second goes on with the numbers of the first."""
+    out = scratch_folder(spark, "batches")
+    df = orders(spark, sf_dir)
+    done = F.col("o_orderstatus") == "F"
+    job = {"path": out, "format": "ldjson", "file_per_slice": True}
+    for batch in (df.where(done), df.where(~done)):
+        file_exporter(batch, job)
+    return read_ldjson(spark, out, ORDER_TYPE)
+
+
+@workload(ORDER_SQL)
+def direct_rerun_orders(spark, sf_dir):
+    """Under Spark's own names, an export that replaces leaves its rows once."""
+    out = scratch_folder(spark, "direct")
+    for _ in range(2):
+        export(orders(spark, sf_dir), out, "ldjson", naming="direct", id="orders", replace=True)
+    return read_ldjson(spark, out, ORDER_TYPE)
+
+
+@workload("SELECT l_returnflag AS folder, true AS first, true AS one_per_file, count(*) AS records FROM lineitem GROUP BY ALL")
+def routed_headers_lineitem(spark, sf_dir):
+    """Raw lines of a routed csv: each file begins with its header and has no other."""
+    out = scratch_folder(spark, "headers")
+    df = table(spark, sf_dir, "lineitem")
+    export_routed(df, out, "csv", "l_returnflag", include_header=True, fields=["l_orderkey", "l_linenumber", "l_comment", "l_shipdate"])
+    lines = read_raw(spark, out, with_source=True).select("data", "source.path", F.monotonically_increasing_id().alias("at"))
+    head = F.col("data").startswith('"l_orderkey"')
+    files = lines.groupBy("path").agg(
+        F.min_by(head, "at").alias("first"), (F.count_if(head) == 1).alias("one"), F.count_if(~head).alias("records")
+    )
+    return files.groupBy(folder_name(F.col("path")).alias("folder")).agg(
+        F.bool_and("first").alias("first"), F.bool_and("one").alias("one_per_file"), F.sum("records").alias("records")
+    )
+
+
+# --- what must not vanish --------------------------------------------------------------
+
+
+@workload(
+    """SELECT p_partkey % 3 = 0 AS surplus, count(*) AS records,
+              CAST(sum(CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_partkey END) AS BIGINT) AS keys FROM part GROUP BY 1"""
+)
+def csv_surplus_part(spark, sf_dir):
+    """A line with a value beyond the fields is a bad record, and comes back whole."""
+    out = scratch_folder(spark, "surplus")
+    more = F.when(F.col("p_partkey") % 3 == 0, F.lit(',"x, ""y"""')).otherwise(F.lit(","))
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(',"'), F.col("p_name"), F.lit('"'), more)
+    export(table(spark, sf_dir, "part").select(line.alias("data")), out, "raw")
+    df = read_csv(spark, out, ["key", "name"], rejects="column")
+    whole = F.col("rejected").endswith(',"x, ""y"""')
+    return df.groupBy(F.coalesce(whole, F.lit(False)).alias("surplus")).agg(
+        F.count("*").alias("records"), F.sum(F.when(F.col("rejected").isNull(), F.col("key").cast("bigint"))).alias("keys")
+    )
+
+
+@workload("SELECT CASE WHEN p_partkey % 4 = 0 THEN 'a' ELSE CAST(p_partkey AS VARCHAR) END AS a, '' AS b, p_name AS c FROM part")
+def csv_header_like_part(spark, sf_dir):
+    """Where empty cells are values, a line that repeats some names is a record."""
+    out = scratch_folder(spark, "header")
+    first = F.when(F.col("p_partkey") % 4 == 0, "a").otherwise(F.col("p_partkey").cast("string"))
+    third = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("c"), F.col("p_name"))).otherwise(F.col("p_name"))
+    lines = table(spark, sf_dir, "part").select(F.concat_ws(",", first, F.lit(""), third).alias("data"))
+    likes = spark.range(50).select(F.lit("a,,c").alias("data"))
+    export(lines.unionAll(likes), out, "raw")
+    back = read_csv(spark, out, ["a", "b", "c"], ignore_empty=False)
+    kept = back.where("c = 'c'").count()
+    if kept != 50:
+        raise AssertionError(f"{kept} of 50 records with the names of fields came back")
+    tail = F.when(F.col("a") == "a", F.substring("c", 2, 2**30)).otherwise(F.col("c"))
+    return back.where("c <> 'c'").select("a", "b", tail.alias("c"))
+
+
+@workload("SELECT event_id, user_id AS user, event_type AS kind, value AS number FROM events")
+def json_odd_names_events(spark, sf_dir):
+    """Names of fields are data: signs, blanks and dots in them, at any depth."""
+    out = scratch_folder(spark, "names")
+    inner = F.struct(F.col("event_type").alias("user-agent"), F.col("value").alias("a b"))
+    df = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("@timestamp"), inner.alias("x.y"))
+    export(df, out, "json", records_per_file=2000)
+    back = read_json(spark, out, df.schema, size=1024 * 1024)
+    return back.select(
+        "event_id", F.col("`@timestamp`").alias("user"), F.col("`x.y`.`user-agent`").alias("kind"), F.col("`x.y`.`a b`").alias("number")
+    )
+
+
+@workload("SELECT 'a b%20+' || event_type AS folder, count(*) AS records, true AS listed FROM events GROUP BY 1")
+def source_path_odd_names_events(spark, sf_dir):
+    """The path of a row is the path of the listing, whatever signs are in it."""
+    out = scratch_folder(spark, "paths")
+    df = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("a b%20+"), "event_type").alias("route"))
+    export_routed(df, out, "ldjson", "route")
+    rows = read_ldjson(spark, out, "event_id bigint", with_source=True).groupBy("source.path").agg(F.count("*").alias("n"))
+    met = rows.join(file_inventory(spark, out), "path", "left")
+    return met.groupBy(folder_name(F.col("path")).alias("folder")).agg(
+        F.sum("n").alias("records"), F.bool_and(F.col("size").isNotNull()).alias("listed")
+    )
+
+
+@workload(
+    """SELECT 'data/' AS prefix, true AS readable, CAST(sum(strlen(props) + 1) AS BIGINT) AS bytes FROM events
+       UNION ALL SELECT '_own/', true, CAST(sum(strlen(props) + 1) AS BIGINT) FROM events
+       UNION ALL SELECT '.own/', false, CAST(sum(strlen(props) + 1) AS BIGINT) FROM events"""
+)
+def inventory_all_events(spark, sf_dir):
+    """A listing has all files, those that a reader would not take as well."""
+    out = scratch_folder(spark, "inventory")
+    df = table(spark, sf_dir, "events").select(F.col("props").alias("data"))
+    for folder in ("data", "_own", ".own"):
+        export(df, f"{out}/{folder}", "raw")
+    objects = file_inventory(spark, out).select(F.concat(F.lit("bucket/"), "key").alias("object"), "size", "readable")
+    return inventory_summary(objects).select("prefix", "readable", "bytes")
+
+
+# --- whole tables, all columns -----------------------------------------------------------
+
+
+def _full(name: str) -> None:
+    def run(spark, sf_dir):
+        out = scratch_folder(spark, name)
+        df = table(spark, sf_dir, name)
+        export(df, out, "ldjson")
+        return read_ldjson(spark, out, df.schema)
+
+    run.__doc__ = f"All columns of ``{name}`` to line-delimited json and back."
+    WORKLOADS[f"ldjson_full_{name}"] = (run, f"SELECT * FROM {name}")
+
+
+for _name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+    _full(_name)
+for _name in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
+    _full(_name)
+
+
 # --- paths, counts, listings -----------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ import time
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import Observation, functions as F
+from pyspark.sql import Observation, functions as F, types as T
 
 from millrace import (
     OptionError,
@@ -173,11 +173,11 @@ def test_tsv(spark, folder):
 def test_csv_cells(spark, folder):
     text = '1, "x,y" ,3\n"q""r",,\n  ,\u00a0z\u00a0," k "\n1,2,3,4\n1\n5" pipe,"a"b,c\n'
     path = put(folder, "x", text)
-    assert [tuple(r) for r in read_csv(spark, path, ["a", "b", "c"]).collect()] == [
+    assert [tuple(r) for r in read_csv(spark, path, ["a", "b", "c"], surplus="cut").collect()] == [
         ("1", "x,y", "3"), ('q"r', None, None), (None, "z", "k"), ("1", "2", "3"), ("1", None, None),
         ('5" pipe', '"a"b', "c"),
     ]
-    assert [tuple(r) for r in read_csv(spark, path, ["a", "b", "c"], ignore_empty=False).collect()][1] == (
+    assert [tuple(r) for r in read_csv(spark, path, ["a", "b", "c"], ignore_empty=False, surplus="cut").collect()][1] == (
         'q"r', "", "",
     )
     good, bad = read_csv(spark, path, ["a", "b", "c"], rejects=True, check_width=True)
@@ -320,16 +320,13 @@ def test_native_scan_is_optional(spark, folder):
         read_ldjson(spark, path, "a bigint", strict=False, on_reject="none")
 
 
-def test_check_source(spark, folder, caplog):
+def test_check_source(spark, folder):
     with pytest.raises(SourceError):
         check_source(spark, str(folder / "none"))
     with pytest.raises(SourceError):
         check_source(spark, str(folder))
     put(folder, "d/x", "1")
-    put(folder, "d/_y", "1")
-    with caplog.at_level(logging.WARNING, "millrace"):
-        check_source(spark, str(folder / "d"))
-    assert "_y" in caplog.text
+    check_source(spark, str(folder / "d"))
     with pytest.raises(SourceError):
         check_source(spark, str(folder / "d" / "x"))
     os.symlink(folder / "d", folder / "link")
@@ -341,6 +338,46 @@ def test_check_source(spark, folder, caplog):
     assert file_reader(spark, job).count() == 1
 
 
+def test_files_that_would_be_left_out_are_named(spark, folder):
+    put(folder, "d/x", "1\n")
+    put(folder, "d/sub/_q.json", "1\n")
+    put(folder, "plain/x.lz4", "1\n")
+    for name, found in (("d", "sub/_q.json"), ("plain", "x.lz4")):
+        path = str(folder / name)
+        for read_it in (lambda p: read_raw(spark, p), lambda p: read_ldjson(spark, p, "a int", strict=False), lambda p: read_ldjson(spark, p, "a int")):
+            with pytest.raises(SourceError, match=found):
+                read_it(path)
+    assert read_raw(spark, str(folder / "d"), check_names=False).count() == 1
+    put(folder, "ok/_SUCCESS", "")
+    put(folder, "ok/x", "1\n")
+    assert read_raw(spark, str(folder / "ok")).count() == 1
+
+
+def test_values_beyond_the_fields(spark, folder):
+    path = put(folder, "x", '1,2,3\n4,5,\n6,"7,8"\n9,10,"x,y"\n11,12, ,\n13\n14,,15\n16,17,""\n')
+    good, bad = read_csv(spark, path, ["a", "b"], rejects=True)
+    assert [tuple(r) for r in good.collect()] == [("4", "5"), ("6", "7,8"), ("11", "12"), ("13", None)]
+    assert [r.record for r in bad.collect()] == ["1,2,3", '9,10,"x,y"', "14,,15", '16,17,""']
+    assert read_csv(spark, path, ["a", "b"], surplus="cut").count() == 8
+    with pytest.raises(Exception, match="bad record: 1,2,3"):
+        read_csv(spark, path, ["a", "b"]).collect()
+    assert read_csv(spark, path, ["a", "b"], on_reject="none", ignore_empty=False).count() == 2
+
+
+def test_names_that_need_quotes(spark, folder):
+    path = put(folder, "x", '[{"@timestamp":1,"user-agent":{"a b":"c"}},{"@timestamp":"no"}]')
+    schema = T.StructType([T.StructField("@timestamp", T.LongType()), T.StructField("user-agent", T.StructType([T.StructField("a b", T.StringType())]))])
+    good, bad = read_json(spark, path, schema, rejects=True, size=1000)
+    assert rows(good) == [{"@timestamp": 1, "user-agent": {"a b": "c"}}] and bad.count() == 1
+
+
+def test_real_paths(spark, folder):
+    put(folder, "sp ace/a b%+.txt", "1\n")
+    path = read_raw(spark, str(folder), with_source=True).select("source.path").first()[0]
+    assert path.endswith("/sp ace/a b%+.txt")
+    assert file_inventory(spark, str(folder)).first().path == path
+
+
 def test_slices_of_a_file(spark, folder):
     text = "".join(json.dumps({"n": i, "pad": "x" * 320}) + "\n" for i in range(50))[:16820]
     path = put(folder, "testData.txt", text + " " * (16820 - len(text)))
@@ -351,11 +388,17 @@ def test_slices_of_a_file(spark, folder):
 def test_inventory(spark, folder):
     for name in ("bar", "bad", "baz", "foo", "d/x", "d/y"):
         put(folder, name, name)
-    every = file_inventory(spark, str(folder))
+    for name in ("_x/a", ".hid", "c/_q"):
+        put(folder / "all", name, "" if name == ".hid" else name)
+    assert {(r.key, r["size"], r.readable) for r in file_inventory(spark, str(folder / "all")).collect()} == {
+        ("_x/a", 4, True), (".hid", 0, False), ("c/_q", 4, True)
+    }
+    every = file_inventory(spark, str(folder)).where("not startswith(key, 'all/')")
     assert sorted(r.key for r in every.collect()) == ["bad", "bar", "baz", "d/x", "d/y", "foo"]
     assert {r.key: r["size"] for r in every.collect()}["d/x"] == 3
     assert file_inventory(spark, str(folder), prefix="ba").count() == 3
     assert file_inventory(spark, str(folder), start_after="bar").count() == 4
+    assert every.where("modified > timestamp'2020-01-01'").count() == 6
     objects = every.select(F.concat(F.lit("bucket/"), "key").alias("object"), "size", "readable")
     summary = {(r.bucket, r.prefix): (r.files, r.bytes) for r in inventory_summary(objects).collect()}
     assert summary == {("bucket", ""): (4, 12), ("bucket", "d/"): (2, 6)}

@@ -61,12 +61,47 @@ def test_empty_input_writes_nothing(data, folder, text_of):
 def test_rerun_with_fewer_files_replaces_all(spark, folder, text_of):
     export(spark.range(0, 50, 1, 5), str(folder), "ldjson", id="w")
     export(spark.range(0, 7, 1, 2), str(folder), "ldjson", id="other")
-    export(spark.range(0, 50, 1, 2), str(folder), "ldjson", id="w")
+    export(spark.range(0, 50, 1, 2), str(folder), "ldjson", id="w", replace=True)
     names = set(text_of(folder))
     assert names == {"w.0.ldjson", "w.1.ldjson", "other.0.ldjson", "other.1.ldjson"}
     assert read_ldjson(spark, str(folder), "id bigint").count() == 57
 
 
+def test_second_batch_goes_on(spark, folder, text_of):
+    job = {"path": str(folder), "format": "ldjson", "file_per_slice": True}
+    file_exporter(spark.range(0, 10, 1, 2), job)
+    file_exporter(spark.range(10, 20, 1, 1), job)
+    assert set(text_of(folder)) == {"part.0.ldjson", "part.1.ldjson", "part.2.ldjson"}
+    assert sorted(r.id for r in read_ldjson(spark, str(folder), "id bigint").collect()) == list(range(20))
+
+
+@pytest.mark.parametrize("naming", ["exact", "direct"])
+def test_replace_removes_stale_routes(spark, folder, naming):
+    for n in (4, 2):
+        df = spark.range(20).select("id", (F.col("id") % n).cast("string").alias("route"))
+        export_routed(df, str(folder), "ldjson", "route", id="w", naming=naming, replace=True)
+    other = spark.range(100, 105).withColumn("route", F.lit("0"))
+    export_routed(other, str(folder), "ldjson", "route", id="other", naming=naming)
+    assert sorted(r.id for r in read_ldjson(spark, str(folder), "id bigint").collect()) == [*range(20), *range(100, 105)]
+
+
+def test_route_of_a_dot_is_the_root(spark, folder):
+    df = spark.createDataFrame([(1, "."), (2, None), (3, ""), (4, "./x/.")], "id long, route string")
+    export_routed(df, str(folder), "ldjson", "route", id="w")
+    found = read_ldjson(spark, str(folder), "id bigint", with_source=True).select("id", F.element_at(F.split("source.path", "/"), -2).alias("f"))
+    assert {r.id: r.f for r in found.collect()} == {1: folder.name, 2: folder.name, 3: folder.name, 4: "x"}
+
+
+@pytest.mark.parametrize("records", [None, 3000])
+def test_headers_of_routes_stay_in_front_when_sorts_spill(spark, folder, text_of, records):
+    df = spark.range(0, 40000, 1, 2).select("id", (F.col("id") % 3).cast("string").alias("route"))
+    export_routed(df, str(folder), "csv", "route", include_header=True, records_per_file=records, compression="none")
+    for text in text_of(folder).values():
+        lines = text.splitlines()
+        assert lines[0] == '"id"' and lines.count('"id"') == 1 and text.endswith("\n") and "" not in lines
+    assert read_csv(spark, str(folder), ["id"]).count() == 40000
+
+
 def test_hot_route_is_split_by_the_rebalance(spark, folder, text_of):
     """Nine rows of ten share a route; adaptive execution still cuts it into several files."""
     df = spark.range(0, 200000, 1, 8).select(
