@@ -179,7 +179,7 @@ def logits(p: Params, words, flat: np.ndarray, first: np.ndarray, length: np.nda
     return out
 
 
-def fit(texts: list[list[str]], toxic: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> tuple[Params, pa.Array]:
+def fit(texts: pa.Array | list[list[str]], toxic: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> tuple[Params, pa.Array]:
     """Network and vocabulary of the training texts.
 
     A text is toxic if one of its windows is.  So each epoch scores all windows and learns from the worst
@@ -187,21 +187,21 @@ def fit(texts: list[list[str]], toxic: np.ndarray, epochs: int = EPOCHS, seed: i
     characters have to do.
     """
     rng = np.random.default_rng(seed)
-    seen: dict[str, int] = {}
-    for text in texts:
-        for word in set(text):
-            seen[word] = seen.get(word, 0) + 1
-    often = sorted((w for w, n in seen.items() if n > 2), key=lambda w: (-seen[w], w))[:VOCABULARY]
-    vocabulary = pa.array(sorted(often), pa.string())
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.list_(pa.string()))
+    coded = texts.flatten().dictionary_encode()
+    flat = coded.indices.to_numpy().astype(np.int64)
+    counts = pc.list_value_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    base, size = np.cumsum(counts) - counts, max(1, len(coded.dictionary))
+    seen = np.bincount(np.unique(np.repeat(np.arange(len(texts)), counts) * size + flat) % size, minlength=len(coded.dictionary))
+    often = np.flatnonzero(seen > 2)
+    often = often[np.lexsort((often, -seen[often]))[:VOCABULARY]]
+    vocabulary = coded.dictionary.take(pa.array(np.sort(often)))
     p = fresh(len(vocabulary), seed)
     if not len(toxic) or toxic.min() == toxic.max():
         p["out"][:] = 0
         p["bias"][:] = 0 if not len(toxic) else 4 * toxic[0] - 2
         return p, vocabulary
-    coded = pa.array([w for t in texts for w in t], pa.string()).dictionary_encode()
-    flat, words = coded.indices.to_numpy(), features(coded.dictionary, vocabulary)
-    counts = np.array([len(t) for t in texts])
-    base = np.cumsum(counts) - counts
+    words = features(coded.dictionary, vocabulary)
     text, first, length = windows(counts)
     first = first + base[text]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
@@ -245,19 +245,32 @@ def _only(words, used: np.ndarray):
     return known[used], grams[at], start
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[list[str]], np.ndarray]:
+def held_out(folds: int, held: int) -> F.Column:
+    """Whether a row is in the held-out fold: crc32 of doc_id as text.  A null doc_id is in none."""
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+    return F.coalesce(fold == held, F.lit(False))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, folds: int, held: int, rows: int = TRAIN_ROWS) -> tuple[pa.Array, np.ndarray]:
     """Words and labels of up to ``rows`` labelled documents of each class, those with the smallest hashes.
 
-    Rows with a null text, doc_id or label are left out; of several labels the highest counts.
+    The documents are picked from the labels, outside the held-out fold, and so few doc_ids are broadcast to
+    the texts; no text is shuffled.  Rows with a null text, doc_id or label are left out; of several labels
+    the highest counts.
     """
-    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = docs.where("doc_id is not null and text is not null").select("doc_id", "text").join(marks, "doc_id")
-    picked = []
-    for toxic in (0, 1):
-        some = known.where(F.col("toxic") == toxic).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), F.xxhash64("text")).limit(rows)
-        picked += some.select(F.slice(words_of(), 1, TRAIN_WORDS).alias("words"), "toxic").collect()
-    picked.sort(key=lambda r: (r.toxic, r.words))
-    return [list(r.words) for r in picked], np.array([r.toxic for r in picked], int)
+    known = labels.where("doc_id is not null and toxic is not null").where(~held_out(folds, held))
+    marks = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    order = [F.xxhash64(F.lit(SEED), "id"), F.col("id")]
+    of = lambda toxic: marks.where(F.col("toxic") == toxic).orderBy(*order).limit(rows)
+    picked = of(0).unionByName(of(1)).toArrow()
+    few = docs.sparkSession.createDataFrame(picked.to_pylist(), "id long, toxic int")
+    texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(few), "id")
+    some = texts.select("id", "toxic", F.slice(words_of(), 1, TRAIN_WORDS).alias("words"))
+    # a doc_id may stand in any number of rows
+    table = some.orderBy(*order, "words").limit(2 * rows).toArrow().combine_chunks()
+    if not len(table):
+        return pa.array([], pa.list_(pa.string())), np.empty(0, int)
+    return table.column("words").combine_chunks(), table.column("toxic").to_numpy().astype(int)
 
 
 def score(rows: DataFrame, model: tuple[Params, pa.Array]) -> DataFrame:
@@ -289,12 +302,6 @@ def score(rows: DataFrame, model: tuple[Params, pa.Array]) -> DataFrame:
     return rows.mapInArrow(run, f"{carried} {kind}, score double, predicted int")
 
 
-def held_out(folds: int, held: int) -> F.Column:
-    """Whether a row is in the held-out fold: crc32 of doc_id as text.  A null doc_id is in none."""
-    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
-    return F.coalesce(fold == held, F.lit(False))
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row of ``docs`` (doc_id, text), learned from ``labels``.
 
@@ -302,8 +309,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0)
     repeated rows are answered each for itself.  Without rows of both classes every score is the same: 0.5
     without labels, else near the only class.
     """
-    model = fit(*training_rows(docs.where(~held_out(folds, held)), labels))
-    key = F.struct(F.col("doc_id").cast("long"), held_out(folds, held).alias("held_out")).alias("key")
+    model = fit(*training_rows(docs, labels, folds, held))
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), held_out(folds, held).alias("held_out")).alias("key")
     return score(docs.select(key, words_of().alias("words")), model).select("key.*", "score", "predicted")
 
 
@@ -312,7 +319,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0
 
     Each row is decided by itself as it passes, nothing is shuffled.
     """
-    model = fit(*training_rows(docs.where(~held_out(folds, held)), labels))
+    model = fit(*training_rows(docs, labels, folds, held))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     clean = score(docs.select(row, words_of().alias("words")), model).where("predicted = 0")
     return clean.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
