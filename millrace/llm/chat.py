@@ -37,13 +37,13 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column
     ``arguments`` is a VARIANT, null if the text was no JSON.
     """
     is_object = F.coalesce(F.schema_of_variant(arguments).startswith("OBJECT<"), F.lit(False))
-    keys = F.array_sort(F.map_keys(F.try_variant_get(arguments, "$", "map<string,variant>")))
+    given = F.try_variant_get(arguments, "$", "map<string,variant>")
+    keys = F.array_sort(F.map_keys(given))
     found = F.array(F.lit("unknown tool"))
     for tool, fields in schemas.items():
         checks = []
         for field, (kind, needed) in sorted(fields.items()):
-            # a name is data: it is looked up in the keys and quoted in the path
-            value = F.try_variant_get(arguments, "$['" + field.replace("'", "\\'") + "']", "variant")
+            value = F.try_element_at(given, F.lit(field))
             fits = F.coalesce(F.schema_of_variant(value).rlike(TYPES[kind]), F.lit(False))
             there = F.array_contains(keys, field)
             missing = F.lit(f"missing {field}") if needed else F.lit(None).cast("string")
