@@ -109,20 +109,20 @@ def test_object_stores_keep_spark_names():
 @pytest.mark.parametrize(
     "settings, name",
     [
-        (dict(format="ldjson"), "testFile/some-id.ldjson"),
-        (dict(format="json", file_per_slice=True, slice_count=25), "testFile/some-id.25.json"),
-        (dict(format="tsv"), "testFile/some-id.tsv"),
-        (dict(format="csv"), "testFile/some-id.csv"),
-        (dict(format="csv", extension="foo"), "testFile/some-id.foo"),
-        (dict(format="csv", extension=".foo"), "testFile/some-id.foo"),
-        (dict(format="csv", compression="lz4", extension=""), "testFile/some-id"),
-        (dict(format="raw"), "testFile/some-id"),
-        (dict(format="ldjson", compression="lz4", file_per_slice=True, slice_count=0), "testFile/some-id.0.ldjson.lz4"),
-        (dict(format="csv", compression="gzip", file_per_slice=True, slice_count=0), "testFile/some-id.0.csv.gz"),
+        (dict(format="ldjson"), "dir/run-7.ldjson"),
+        (dict(format="json", file_per_slice=True, slice_count=25), "dir/run-7.25.json"),
+        (dict(format="tsv"), "dir/run-7.tsv"),
+        (dict(format="csv"), "dir/run-7.csv"),
+        (dict(format="csv", extension="foo"), "dir/run-7.foo"),
+        (dict(format="csv", extension=".foo"), "dir/run-7.foo"),
+        (dict(format="csv", compression="lz4", extension=""), "dir/run-7"),
+        (dict(format="raw"), "dir/run-7"),
+        (dict(format="ldjson", compression="lz4", file_per_slice=True, slice_count=0), "dir/run-7.0.ldjson.lz4"),
+        (dict(format="csv", compression="gzip", file_per_slice=True, slice_count=0), "dir/run-7.0.csv.gz"),
     ],
 )
 def test_file_name(settings, name):
-    assert file_name("testFile", "some-id", **settings) == name
+    assert file_name("dir", "run-7", **settings) == name
 
 
 def test_unknown_settings_are_refused():

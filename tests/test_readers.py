@@ -26,7 +26,7 @@ from millrace import (
     with_source,
 )
 
-BAD = '{"test4": "data"}\n{"test5": data}\n{"test6": "data"}\n'
+BAD = '{"p": "data"}\n{"q": data}\n{"r": "data"}\n'
 
 
 def put(folder, name, text):
@@ -49,29 +49,29 @@ def lz4(text):
 
 def test_bad_record_does_not_spoil_the_rest(spark, folder):
     path = put(folder, "x", BAD)
-    schema = "test4 string, test6 string"
+    schema = "p string, r string"
     assert rows(read_ldjson(spark, path, schema, on_reject="none")) == [
-        {"test4": "data", "test6": None}, {"test4": None, "test6": "data"},
+        {"p": "data", "r": None}, {"p": None, "r": "data"},
     ]
-    with pytest.raises(Exception, match="bad record: .*test5"):
+    with pytest.raises(Exception, match="bad record: .*q"):
         read_ldjson(spark, path, schema).count()
     good, bad = read_ldjson(spark, path, schema, rejects=True)
     assert good.count() == 2
     assert bad.count() == 1
     (row,) = bad.collect()
-    assert row.record == '{"test5": data}' and row.path.endswith("/x")
+    assert row.record == '{"q": data}' and row.path.endswith("/x")
     marked = read_ldjson(spark, path, schema, rejects="column")
-    assert [r.rejected for r in marked.collect()] == [None, '{"test5": data}', None]
+    assert [r.rejected for r in marked.collect()] == [None, '{"q": data}', None]
 
 
 def test_log_counts_and_reports(spark, folder, caplog):
     path = put(folder, "x", BAD)
     seen = Observation()
-    df = read_ldjson(spark, path, "test4 string", on_reject="log", observation=seen)
+    df = read_ldjson(spark, path, "p string", on_reject="log", observation=seen)
     assert df.count() == 2
     assert seen.get == {"read": 3, "rejected": 1}
     with caplog.at_level(logging.ERROR, "millrace"):
-        read_ldjson(spark, path, "test4 string", on_reject="log").collect()
+        read_ldjson(spark, path, "p string", on_reject="log").collect()
         until = time.time() + 10
         while not caplog.records and time.time() < until:
             time.sleep(0.1)
@@ -144,8 +144,8 @@ def test_json_elements_are_judged_one_by_one(spark, folder):
         read_json(spark, str(folder), "a bigint").count()
 
 
-FIELDS = ["data1", "data2", "data3", "data4", "data5", "data6"]
-TABLE = "data1,data2,data3,data4,data5,data6\n1,2,3,4,5,6\n2,4,6,8,10,12\n3,6,9,12,15,18\n"
+FIELDS = ["c1", "c2", "c3", "c4", "c5", "c6"]
+TABLE = "c1,c2,c3,c4,c5,c6\n1,2,3,4,5,6\n7,1,7,2,7,3\n9,9,8,8,7,7\n"
 
 
 def test_csv_headers(spark, folder):
@@ -380,7 +380,7 @@ def test_real_paths(spark, folder):
 
 def test_slices_of_a_file(spark, folder):
     text = "".join(json.dumps({"n": i, "pad": "x" * 320}) + "\n" for i in range(50))[:16820]
-    path = put(folder, "testData.txt", text + " " * (16820 - len(text)))
+    path = put(folder, "lines.txt", text + " " * (16820 - len(text)))
     options = ReadOptions(path=path, format="raw", size=750)
     assert read(spark, options).rdd.getNumPartitions() == 23
 
