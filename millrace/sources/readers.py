@@ -103,11 +103,21 @@ def parsed_lines(
         if streaming:
             raise OptionError("a stream needs a schema (or 'variant')")
         schema = infer_schema(lines, sampling_ratio)
+    schema = _named(schema, options.fields)
     if options.format == "json":
         return parse_json_documents(lines, schema)
     return parse_json_lines(lines, schema, exact_text)
 
 
+def _named(schema: T.StructType | str, fields: Sequence[str]) -> T.StructType | str:
+    """The part of a json schema that is asked for; of all other fields only the syntax is checked."""
+    if schema == "variant" or not fields:
+        return schema
+    full = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    kept = [full[name] for name in dict.fromkeys(fields) if name in full.names]
+    return T.StructType(kept) if kept else full
+
+
 def read(
     spark: SparkSession,
     options: ReadOptions,
@@ -146,7 +156,7 @@ def read(
 
 
 def _select(df: DataFrame, options: ReadOptions, source: str | None) -> DataFrame:
-    """json readers may name the top-level fields they want; with ``strict=False`` the scan is pruned to them."""
+    """json readers may name the top-level fields they want; others are not parsed, and not scanned with ``strict=False``."""
     if options.format not in ("json", "ldjson") or not options.fields:
         return df
     names = [name for name in dict.fromkeys(options.fields) if name in df.columns]

@@ -371,6 +371,13 @@ def test_names_that_need_quotes(spark, folder):
     assert rows(good) == [{"@timestamp": 1, "user-agent": {"a b": "c"}}] and bad.count() == 1
 
 
+def test_only_named_fields_are_parsed(spark, folder):
+    path = put(folder, "x", '{"a":1,"b":"no number"}\n{"b":2}\n{"a":3,"b":}\n')
+    good, bad = read_ldjson(spark, path, "b int, a int", fields=["a", "zz", "a"], rejects=True)
+    assert rows(good) == [{"a": 1}, {"a": None}] and [r.record for r in bad.collect()] == ['{"a":3,"b":}']
+    assert read_ldjson(spark, path, "b int, a int", on_reject="none").count() == 1
+
+
 def test_real_paths(spark, folder):
     put(folder, "sp ace/a b%+.txt", "1\n")
     path = read_raw(spark, str(folder), with_source=True).select("source.path").first()[0]
