@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 import numpy as np
@@ -123,12 +124,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     without letters, or a model that learned nothing, gives ``und`` and 0.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    key = ("langid", sent.id if hasattr(sent, "id") else id(sent))
+    name = uuid.uuid4().hex
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches):
         model = sent.value
-        memo = worker_memo(key, dict)
+        # scores of unseen words; those of an earlier model are dropped
+        kept = worker_memo(("langid",), dict)
+        if kept.get("model") != name:
+            kept.clear()
+            kept.update(model=name, scores={})
+        memo = kept["scores"]
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 piece = batch.slice(at, 1000)
