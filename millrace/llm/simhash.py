@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 from typing import NamedTuple
 
@@ -213,12 +214,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "text_hash", "fp", F.col("least.doc_id").alias("component_id"), keep.alias("keep"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
     """One row of each group of near-duplicates, with all columns of ``docs`` as they are.
 
-    It is the row of the smallest doc_id; one of them if that row is repeated.
+    It is the row of the smallest doc_id; one of them if that row is repeated.  ``grouped`` finds the groups.
     """
-    kept = stored(near_duplicates(docs).where("keep").select("doc_id", "text_hash"), "kept")
+    kept = stored(grouped(docs).where("keep").select("doc_id", "text_hash"), "kept")
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     mine = [F.col("row.doc_id").cast("long"), F.xxhash64("row.text")]
