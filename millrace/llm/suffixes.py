@@ -21,7 +21,9 @@ Names have 64 bits, and strings are compared within the bucket of a q-gram with
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -266,8 +268,11 @@ def _at_places(bodies: DataFrame, wanted: DataFrame, find, repeat: int) -> DataF
     return bodies.select("row", "body").join(lists, "row").mapInArrow(run, ITEM)
 
 
-def repeated_places(bodies: DataFrame, repeat: int = REPEAT) -> DataFrame:
-    """(row, place) of all strings of ``repeat`` bytes that also start anywhere else in ``bodies``."""
+def repeated_places(bodies: DataFrame, repeat: int = REPEAT, sift: bool = False) -> DataFrame:
+    """(row, place) of all strings of ``repeat`` bytes that also start anywhere else in ``bodies``.
+
+    ``sift`` leaves anchors out early whose q-gram is the anchor of no other strings; short strings have many.
+    """
 
     def run(batches):
         for batch in slices(batches, "body"):
@@ -275,7 +280,12 @@ def repeated_places(bodies: DataFrame, repeat: int = REPEAT) -> DataFrame:
             for row, place, gram, whole in _stretches(texts, repeat):
                 yield from _item_batches([(row, place, gram, np.zeros(len(row), np.int32), gram, whole)])
 
-    stretches = stored(bodies.select("row", "body").mapInArrow(run, ITEM), "stretches")
+    stretches = bodies.select("row", "body").mapInArrow(run, ITEM)
+    if sift:
+        anchors = stored(stretches.select("row", "place", "gram", "whole"), "anchors")
+        shared = stored(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
+        stretches = anchors.join(shared, "gram", "left_semi").select("row", "place", "gram", F.lit(0).alias("part"), F.col("gram").alias("core"), "whole")
+    stretches = stored(stretches, "stretches")
     repeated, open_stretches = _refine(stretches)
     blocks = stored(_at_places(bodies, open_stretches, _blocks, repeat), "blocks")
     more, open_blocks = _refine(blocks)
@@ -286,8 +296,12 @@ def repeated_places(bodies: DataFrame, repeat: int = REPEAT) -> DataFrame:
 def merged_spans(places, repeat: int) -> list[tuple[int, int]]:
     """Maximal byte runs covered by the strings at ``places``, in order."""
     anchor, low, high = _unpacked(np.asarray(places or [], np.int64))
+    return joined_spans(list(zip((anchor - high).tolist(), (anchor - low + repeat).tolist())))
+
+
+def joined_spans(pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
     spans: list[tuple[int, int]] = []
-    for begin, end in sorted(zip((anchor - high).tolist(), (anchor - low + repeat).tolist())):
+    for begin, end in sorted(pieces):
         if spans and begin <= spans[-1][1]:
             spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
         else:
@@ -295,19 +309,57 @@ def merged_spans(places, repeat: int) -> list[tuple[int, int]]:
     return spans
 
 
-def _cut(docs: DataFrame, repeat: int, carried: list[str], answer, schema: str) -> DataFrame:
-    """(carried, and ``answer(body, spans)`` in the order of ``schema``) for each row of ``docs``."""
+def word_windows(body: bytes, spans: list[tuple[int, int]], words: int) -> Iterator[tuple[int, int]]:
+    """(begin, end) of each run of ``words`` words, blanks between them included, inside one of ``spans``."""
+    found = [m.span() for m in re.finditer(rb"\S+", body)]
+    begins = [p for p, _ in found]
+    for begin, end in spans:
+        k = bisect.bisect_left(begins, begin)
+        while k + words <= len(found) and found[k + words - 1][1] <= end:
+            yield found[k][0], found[k + words - 1][1]
+            k += 1
+
+
+def _repeated_passages(bodies: DataFrame, places: DataFrame, repeat: int, words: int) -> DataFrame:
+    """(row, begin, end) of the runs of ``words`` words that are repeated, of all that ``places`` cover."""
+    lists = places.groupBy("row").agg(F.collect_list("place").alias("places"))
+
+    def run(batches):
+        for batch in slices(batches, "body"):
+            for row, body, places in zip(*(c.to_pylist() for c in batch.columns)):
+                at = list(word_windows(body, merged_spans(places, repeat), words))
+                for k in range(0, len(at), 20_000):
+                    some = at[k : k + 20_000]
+                    names = [hashlib.blake2b(body[p:q], digest_size=16).digest() for p, q in some]
+                    columns = [pa.array([row] * len(some), pa.int64()), *(pa.array(x, pa.int64()) for x in zip(*some)), pa.array(names, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["row", "begin", "end", "name"])
+
+    met = bodies.select("row", "body").join(lists, "row")
+    windows = stored(met.mapInArrow(run, "row long, begin long, end long, name binary"), "windows")
+    twice = stored(windows.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "twice")
+    return windows.join(twice, "name").select("row", "begin", "end")
+
+
+def _cut(docs: DataFrame, repeat: int, carried: list[str], answer, schema: str, words: int = 0) -> DataFrame:
+    """(carried, and ``answer(body, spans)`` in the order of ``schema``) for each row of ``docs``.
+
+    With ``words``, spans are the repeated runs of so many words, and ``repeat`` bytes the least that they have.
+    """
     if not GRAM < repeat < 1000:
         raise ValueError(f"repeats of {GRAM + 1} to 999 bytes are supported, not {repeat}")
     bodies = _numbered(docs, carried)
-    found = stored(repeated_places(bodies, repeat), "repeats")
-    lists = found.groupBy("row").agg(F.collect_list("place").alias("places"))
+    found = stored(repeated_places(bodies, repeat, sift=words > 0), "repeats")
+    if words:
+        found = stored(_repeated_passages(bodies, found, repeat, words), "passages")
+    place = F.struct("begin", "end") if words else F.col("place")
+    lists = found.groupBy("row").agg(F.collect_list(place).alias("places"))
     fields = [field.split() for field in schema.split(", ")]
     names, types = ["carried", *(n for n, _ in fields)], [{"long": pa.int64(), "string": pa.string()}[t] for _, t in fields]
 
     def run(batches):
         for batch in slices(batches, "body"):
-            rows = [answer(body, merged_spans(places, repeat)) for body, places in zip(*(batch.column(k).to_pylist() for k in (1, 2)))]
+            spans_of = (lambda x: joined_spans([(s["begin"], s["end"]) for s in x or []])) if words else (lambda x: merged_spans(x, repeat))
+            rows = [answer(body, spans_of(places)) for body, places in zip(*(batch.column(k).to_pylist() for k in (1, 2)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names=names)
 
     met = bodies.join(lists, "row", "left").select("carried", "body", "places")
@@ -335,7 +387,17 @@ def repeat_digest(docs: DataFrame, repeat: int = REPEAT) -> DataFrame:
     return found.select("carried.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def cut_documents(docs: DataFrame, repeat: int = REPEAT) -> DataFrame:
+def cut_passages(docs: DataFrame, words: int) -> DataFrame:
+    """All rows and columns of ``docs`` with texts without passages of ``words`` words or more that are repeated.
+
+    Words are runs of bytes that are not white space; a passage goes from the first byte of its first word to
+    the last of its last, and is repeated byte by byte.  No such passage is shorter than a byte for each word
+    and for each blank between, so repeats of that length are found and the words in them are compared.
+    """
+    return cut_documents(docs, 2 * words - 1, words)
+
+
+def cut_documents(docs: DataFrame, repeat: int = REPEAT, words: int = 0) -> DataFrame:
     """All rows and columns of ``docs`` with texts without their repeated bytes; ``n_chars``, if there, anew.
 
     Of a character that is removed in part, the other bytes go as well.  A text that is repeated as a whole
@@ -345,6 +407,6 @@ def cut_documents(docs: DataFrame, repeat: int = REPEAT) -> DataFrame:
     def answer(body, spans):
         return (_rest(body, spans).decode("utf-8", "ignore"),)
 
-    found = _cut(docs, repeat, [c for c in docs.columns if c != "text"], answer, "text string")
+    found = _cut(docs, repeat, [c for c in docs.columns if c != "text"], answer, "text string", words)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return found.select(*[new.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])
