@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from typing import NamedTuple
 
 import numpy as np
@@ -11,19 +10,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, worker_memo
+from millrace.llm.common import stored
 
 #: Entries of the model that travels to the workers: the most frequent words and n-grams of all training
-#: text.  Rarer words are "unseen" and scored by their n-grams.
+#: text.  Rarer words are scored by joins with the whole tables.
 MAX_WORDS = 200_000
 MAX_GRAMS = 200_000
 #: Longest n-gram tried for an unseen word; then one shorter, and so on.
 LONGEST = 4
 #: Added to every count.
 PRIOR = 0.5
-#: Unseen words whose score a worker remembers.
-MEMO_WORDS = 300_000
-
 NOT_A_LANGUAGE = "und"
 
 
@@ -61,34 +57,62 @@ def _table(counts: DataFrame, key: str, langs: list[str]) -> tuple[list[str], np
     return keys.tolist(), table
 
 
-def learn(train: DataFrame) -> Model:
-    """Count words and n-grams of every row of ``train`` (text, lang); rows where either is null are left out.
+class Counts(NamedTuple):
+    """All words and n-grams of the training text, as tables that stay in the cluster."""
 
-    Counting is a distributed aggregation over all text.  The driver gets the bounded model only.
-    """
+    langs: list[str]
+    words: DataFrame  # lang, word, n
+    grams: DataFrame  # lang, gram, n
+    sizes: list[int]  # words of each language
+    different: int  # words
+    gram_sizes: dict[int, list[int]]  # n: n-grams of each language
+    gram_different: dict[int, int]
+
+
+def _grams_of(framed: str) -> F.Column:
+    """All n-grams of a column, repeats included."""
+    each = [f"transform(sequence(1, length({framed}) - {n - 1}), i -> substring({framed}, i, {n}))" for n in range(1, LONGEST + 1)]
+    return F.flatten(F.array(*[F.when(F.length(framed) >= n, F.expr(x)).otherwise(F.array()) for n, x in enumerate(each, 1)]))
+
+
+def _framed() -> F.Column:
+    return F.concat(F.lit("^"), F.col("word"), F.lit("$")).alias("framed")
+
+
+def count(train: DataFrame) -> Counts:
+    """Count words and n-grams of every row of ``train`` (text, lang); rows where either is null are left out."""
     words = train.where("text is not null and lang is not null").select("lang", F.explode(words_of()).alias("word"))
     counts = stored(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
     size = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(size)
-    keys, table = _table(_frequent(counts, "word", MAX_WORDS), "word", langs)
-    total = np.array([size[x] for x in langs], float)
-    word_scores = np.log((table + PRIOR) / (total + PRIOR * (len(keys) + 1)))
-
-    framed = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-    grams_of = [
-        f"transform(sequence(1, length(framed) - {n - 1}), i -> substring(framed, i, {n}))" for n in range(1, LONGEST + 1)
-    ]
-    # the shortest word has one letter and two marks
-    marked = counts.select("lang", "n", framed.alias("framed"), F.length(framed).alias("size"))
-    every = F.flatten(F.array(*[F.when(F.col("size") >= n, F.expr(x)).otherwise(F.array()) for n, x in enumerate(grams_of, 1)]))
-    long_enough = marked.select("lang", "n", F.explode(every).alias("gram"))
-    grams = stored(long_enough.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    names, table = _table(_frequent(grams, "gram", MAX_GRAMS), "gram", langs)
+    pieces = counts.select("lang", "n", _framed()).select("lang", "n", F.explode(_grams_of("framed")).alias("gram"))
+    grams = stored(pieces.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    length = F.length("gram").alias("length")
+    total = {(r.length, r.lang): r.n for r in grams.groupBy(length, "lang").agg(F.sum("n").alias("n")).collect()}
+    different = {r.length: r["count"] for r in grams.select("gram").distinct().groupBy(length).count().collect()}
+    orders = range(1, LONGEST + 1)
+    return Counts(
+        langs, counts, grams, [size[x] for x in langs], counts.select("word").distinct().count(),
+        {n: [total.get((n, x), 0) for x in langs] for n in orders}, {n: different.get(n, 0) for n in orders},
+    )
+
+
+def learn(train: DataFrame) -> Model:
+    """The model of the most frequent words and n-grams of ``train`` (text, lang)."""
+    return bounded(count(train))
+
+
+def bounded(counts: Counts) -> Model:
+    """What of ``counts`` goes to the driver and the workers; scores are those of the whole tables."""
+    langs = counts.langs
+    keys, table = _table(_frequent(counts.words, "word", MAX_WORDS), "word", langs)
+    word_scores = np.log((table + PRIOR) / (np.array(counts.sizes, float) + PRIOR * (counts.different + 1)))
+    names, table = _table(_frequent(counts.grams, "gram", MAX_GRAMS), "gram", langs)
     lengths = np.array([len(g) for g in names], int)
     gram_scores = np.zeros_like(table)
     for n in range(1, LONGEST + 1):
         mine = lengths == n
-        gram_scores[mine] = np.log((table[mine] + PRIOR) / (table[mine].sum(0) + PRIOR * (mine.sum() + 1)))
+        gram_scores[mine] = np.log((table[mine] + PRIOR) / (np.array(counts.gram_sizes[n], float) + PRIOR * (counts.gram_different[n] + 1)))
     return Model(langs, pa.array(keys, pa.string()), word_scores, {g: i for i, g in enumerate(names)}, gram_scores)
 
 
@@ -102,60 +126,80 @@ def backoff(model: Model, word: str) -> np.ndarray:
     return np.zeros(len(model.langs))
 
 
-def score_words(model: Model, words: pa.Array, memo: dict[str, np.ndarray]) -> np.ndarray:
-    """A row of log frequencies for each word."""
-    at = pc.index_in(words, value_set=model.words).fill_null(-1).to_numpy(zero_copy_only=False)
-    scores = model.word_scores[at] if len(model.words) else np.zeros((len(words), len(model.langs)))
-    unseen = np.flatnonzero(at < 0)
-    for i, word in zip(unseen, words.take(pa.array(unseen)).to_pylist()):
-        found = memo.get(word)
-        if found is None:
-            if len(memo) >= MEMO_WORDS:
-                memo.clear()
-            found = memo[word] = backoff(model, word)
-        scores[i] = found
-    return scores
+def _by_language(counts: Counts, key: str, rows: DataFrame) -> DataFrame:
+    """(key, n0, n1, ...): the counts of each key in each language."""
+    return rows.groupBy(key).agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(counts.langs)])
+
+
+def further_scores(counts: Counts, words: DataFrame) -> DataFrame:
+    """(word, s0, s1, ...) of each of ``words`` (word, different ones), from the whole tables.
+
+    A word of the training text has its log frequencies.  Another has the mean of its longest n-grams of which
+    the training text has any, and no row if it has none.
+    """
+    every = range(len(counts.langs))
+    seen = _by_language(counts, "word", counts.words.join(words, "word"))
+    log = lambda i, size, different: F.log((F.col(f"n{i}") + PRIOR) / F.lit(size + PRIOR * (different + 1)))
+    seen = stored(seen.select("word", *[log(i, counts.sizes[i], counts.different).alias(f"s{i}") for i in every]), "seen")
+    unseen = words.join(seen.select("word"), "word", "left_anti").select("word", _framed())
+    pieces = stored(unseen.select("word", F.explode(_grams_of("framed")).alias("gram")), "pieces")
+    grams = _by_language(counts, "gram", counts.grams.join(pieces.select("gram").distinct(), "gram"))
+
+    def of_order(i: int) -> F.Column:
+        by = [F.when(F.length("gram") == n, log(i, counts.gram_sizes[n][i], counts.gram_different[n])) for n in range(1, LONGEST + 1)]
+        return F.coalesce(*by).alias(f"s{i}")
+
+    scored = stored(grams.select("gram", *[of_order(i) for i in every]), "gram_scores")
+    met = pieces.join(scored, "gram").groupBy("word", F.length("gram").alias("length")).agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in every])
+    best = met.groupBy("word").agg(F.max_by(F.struct(*[f"s{i}" for i in every]), "length").alias("best"))
+    return seen.unionByName(best.select("word", "best.*"))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, counts: Counts) -> DataFrame:
     """``lang_pred`` and ``score`` for each row of ``docs`` (doc_id, held_out, text); other columns are ignored.
 
-    The score is the model's probability of the predicted language, equal priors.  Text that is null or
-    without letters, or a model that learned nothing, gives ``und`` and 0.
+    The score is the probability of the predicted language, equal priors.  Text that is null or without letters,
+    or a training text without any, gives ``und`` and 0.  Workers score the most frequent words; all others
+    meet the whole tables in joins, so what the workers hold does not change the result.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    name = uuid.uuid4().hex
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
+    rows = docs.select(F.col("doc_id").cast("long"), "held_out", words_of().alias("words"))
+    if not counts.langs:
+        return rows.select("doc_id", "held_out", F.lit(NOT_A_LANGUAGE).alias("lang_pred"), F.lit(0.0).alias("score"))
+    sent = docs.sparkSession.sparkContext.broadcast(bounded(counts)._replace(grams={}, gram_scores=None))
+    every = range(len(counts.langs))
 
     def run(batches):
         model = sent.value
-        # scores of unseen words; those of an earlier model are dropped
-        kept = worker_memo(("langid",), dict)
-        if kept.get("model") != name:
-            kept.clear()
-            kept.update(model=name, scores={})
-        memo = kept["scores"]
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 piece = batch.slice(at, 1000)
-                lists = piece.column(2)
-                flat = lists.flatten().dictionary_encode()
-                lengths = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-                names, best = [NOT_A_LANGUAGE] * len(piece), np.zeros(len(piece))
-                full = np.flatnonzero(lengths)
-                if len(full) and model.langs:
-                    table = score_words(model, flat.dictionary, memo)
-                    starts = np.cumsum(lengths) - lengths
-                    sums = np.add.reduceat(table[flat.indices.to_numpy()], starts[full], axis=0)
-                    likely = np.exp(sums - sums.max(1, keepdims=True))
-                    likely /= likely.sum(1, keepdims=True)
-                    best[full] = likely.max(1)
-                    for i, k in zip(full, likely.argmax(1)):
-                        names[i] = model.langs[k]
-                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(names, pa.string()), pa.array(best)], schema=schema)
-
-    rows = docs.select(F.col("doc_id").cast("long"), "held_out", words_of().alias("words"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+                flat = piece.column(3).flatten().dictionary_encode()
+                lengths = pc.list_value_length(piece.column(3)).fill_null(0).to_numpy(zero_copy_only=False)
+                place = pc.index_in(flat.dictionary, value_set=model.words).fill_null(-1).to_numpy(zero_copy_only=False)
+                table = np.concatenate([model.word_scores, np.zeros((1, len(model.langs)))])[place]
+                tokens = flat.indices.to_numpy()
+                sums, full, starts = np.zeros((len(piece), len(model.langs))), np.flatnonzero(lengths), np.cumsum(lengths) - lengths
+                if len(full):
+                    sums[full] = np.add.reduceat(table[tokens], starts[full], axis=0)
+                rare = place[tokens] < 0 if len(tokens) else np.empty(0, bool)
+                before = np.concatenate([[0], np.cumsum(rare)])
+                offsets = np.append(before[starts], before[-1]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), flat.dictionary.take(pa.array(tokens[rare])))
+                columns = [*(piece.column(k) for k in range(3)), pa.array(lengths.astype(np.int64)), pa.array(list(sums), pa.list_(pa.float64())), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n", "sums", "rare"])
+
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "*")
+    parts = stored(numbered.mapInArrow(run, "row long, doc_id long, held_out boolean, n long, sums array<double>, rare array<string>"), "sums")
+    asked = parts.select("row", F.explode("rare").alias("word"))
+    scores = stored(further_scores(counts, stored(asked.select("word").distinct(), "further")), "further_scores")
+    more = asked.join(scores, "word").groupBy("row").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in every])
+    total = F.array(*[F.col("sums")[i] + F.coalesce(f"s{i}", F.lit(0.0)) for i in every])
+    met = parts.join(more, "row", "left").select("doc_id", "held_out", "n", total.alias("total"))
+    most = met.withColumn("most", F.array_max("total"))
+    name = F.element_at(F.array(*map(F.lit, counts.langs)), F.array_position("total", F.col("most")).cast("int"))
+    chance = 1 / F.aggregate("total", F.lit(0.0), lambda sum_, x: sum_ + F.exp(x - F.col("most")))
+    some = F.col("n") > 0
+    return most.select("doc_id", "held_out", F.when(some, name).otherwise(NOT_A_LANGUAGE).alias("lang_pred"), F.when(some, chance).otherwise(0.0).alias("score"))
 
 
 def identify(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
@@ -166,5 +210,4 @@ def identify(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
     """
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
     marked = docs.select("doc_id", "text", "lang", F.coalesce(fold == held, F.lit(False)).alias("held_out"))
-    model = learn(marked.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
-    return predict(marked, model)
+    return predict(marked, count(marked.where(~F.col("held_out") & F.col("doc_id").isNotNull())))
