@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, hnsw, langid, mih, mixing, packing, planes, simhash, suffixes, toxicity, trie
+from millrace.llm import chat, hnsw, langid, ledger, mih, mixing, packing, planes, simhash, suffixes, toxicity, trie
 from millrace.llm.common import documents
 
 
@@ -68,8 +68,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in every document."""
+    return ledger.secret_digest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op5_multi_index_hashing, op6_hierarchical_mixing, op7_tool_call_linking, op8_simhash_near_dedup, op9_language_id, op10_hnsw_near_dedup, op11_prefix_trie)
+    for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op5_multi_index_hashing, op6_hierarchical_mixing, op7_tool_call_linking, op8_simhash_near_dedup, op9_language_id, op10_hnsw_near_dedup, op11_prefix_trie, op12_secret_ledger)
 }
-SQL: dict[str, str] = {"op6_hierarchical_mixing": mixing.mixture_sql(), "op7_tool_call_linking": chat.LINK_SQL, "op11_prefix_trie": trie.TRIE_SQL}
+SQL: dict[str, str] = {"op6_hierarchical_mixing": mixing.mixture_sql(), "op7_tool_call_linking": chat.LINK_SQL, "op11_prefix_trie": trie.TRIE_SQL, "op12_secret_ledger": ledger.secrets_sql()}
