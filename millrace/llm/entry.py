@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, hnsw, langid, ledger, mih, mixing, packing, planes, simhash, suffixes, toxicity, trie
+from millrace.llm import chat, hnsw, langid, ledger, mih, mixing, packing, planes, ranking, simhash, suffixes, toxicity, trie
 from millrace.llm.common import documents
 
 
@@ -73,8 +73,13 @@ def op12_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.secret_digest(documents(spark, sf_dir))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for each benchmark item."""
+    return ranking.ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op5_multi_index_hashing, op6_hierarchical_mixing, op7_tool_call_linking, op8_simhash_near_dedup, op9_language_id, op10_hnsw_near_dedup, op11_prefix_trie, op12_secret_ledger)
+    for f in (op1_best_fit_packing, op2_suffix_dedup, op3_toxicity, op4_token_planes, op5_multi_index_hashing, op6_hierarchical_mixing, op7_tool_call_linking, op8_simhash_near_dedup, op9_language_id, op10_hnsw_near_dedup, op11_prefix_trie, op12_secret_ledger, op13_ranked_search)
 }
-SQL: dict[str, str] = {"op6_hierarchical_mixing": mixing.mixture_sql(), "op7_tool_call_linking": chat.LINK_SQL, "op11_prefix_trie": trie.TRIE_SQL, "op12_secret_ledger": ledger.secrets_sql()}
+SQL: dict[str, str] = {"op6_hierarchical_mixing": mixing.mixture_sql(), "op7_tool_call_linking": chat.LINK_SQL, "op11_prefix_trie": trie.TRIE_SQL, "op12_secret_ledger": ledger.secrets_sql(), "op13_ranked_search": ranking.RANKING_SQL}
