@@ -42,6 +42,21 @@ def sized_session(spark: SparkSession, size: int) -> SparkSession:
     return sibling
 
 
+@contextmanager
+def active(spark: SparkSession) -> Iterator[None]:
+    """``spark`` as the active session: Python data sources are looked up there, whoever reads."""
+    sessions = spark._jvm.org.apache.spark.sql.classic.SparkSession
+    before = sessions.getActiveSession()
+    sessions.setActiveSession(spark._jsparkSession)
+    try:
+        yield
+    finally:
+        if before.isDefined():
+            sessions.setActiveSession(before.get())
+        else:
+            sessions.clearActiveSession()
+
+
 def adopt(spark: SparkSession, df: DataFrame) -> DataFrame:
     """``df`` bound to ``spark`` again, so that views and joins land in the caller's session.
 

@@ -1,8 +1,9 @@
 """Files to a frame of lines: one column ``value``, and ``source`` when it is asked for.
 
-Uncompressed files and ``.gz`` files go through Spark's splitting text scan.  Only
-bytes that the text scan cannot decode (lz4 frames, gzip without its extension) are
-read whole and decoded in Arrow tasks.
+Uncompressed files and ``.gz`` files go through Spark's splitting text scan.  Bytes that it
+cannot decode (lz4 frames, gzip without its extension) are read whole and decoded in Arrow
+tasks; what is too large for that, and names that Spark's scans do not take as they are, go
+through the source of ``files.py``.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.session import adopt, sized_session
 from millrace.sources.codecs import decoded, document_array, line_arrays
+from millrace.sources.files import streamed_lines
+from millrace.sources.names import LARGE, split_pattern
 
 SOURCE_TYPE = "struct<path:string,offset:bigint,length:bigint,total:bigint>"
 
@@ -51,13 +54,17 @@ def _reader(spark: SparkSession, streaming: bool, limits: dict):
     return reader.options(recursiveFileLookup=True, **limits)
 
 
-def _text_lines(reader, path, delimiter: str, whole: bool, source: bool) -> DataFrame:
+def _text_lines(reader, path, delimiter: str, whole: bool, source: bool, but: str | None = None) -> DataFrame:
     reader = reader.option("wholetext", True) if whole else reader.option("lineSep", delimiter)
     origin = source_struct() if source else F.lit(None).cast(SOURCE_TYPE)
-    return reader.format("text").load(path).select("value", origin.alias("source"))
+    lines = reader.format("text").load(path)
+    if but is not None:
+        # files that match are left out of the listing, not opened
+        lines = lines.where(~F.col("_metadata.file_name").rlike(but))
+    return lines.select("value", origin.alias("source"))
 
 
-def _decoded_lines(reader, path, codec: str, delimiter: str, whole: bool, source: bool) -> DataFrame:
+def _decoded_lines(reader, path, codec: str, delimiter: str, whole: bool, source: bool, small: bool = False) -> DataFrame:
     mark = delimiter.encode("utf-8")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,6 +81,8 @@ def _decoded_lines(reader, path, codec: str, delimiter: str, whole: bool, source
                     yield pa.RecordBatch.from_arrays(columns, names=["value", "source"][: len(columns)])
 
     files = reader.format("binaryFile").schema(_FILE_TYPE).load(path)
+    if small:
+        files = files.where(F.col("length") <= LARGE)
     if not source:
         lines = files.select("content").mapInArrow(rows, "value string")
         return lines.select("value", F.lit(None).cast(SOURCE_TYPE).alias("source"))
@@ -99,10 +108,13 @@ def read_lines(
     source: bool = True,
     streaming: bool = False,
     limits: dict | None = None,
+    streamed: Sequence[str] = (),
+    log: str | None = None,
 ) -> DataFrame:
     """``value``, ``source`` for every line (or, with ``whole``, every file) below ``path``.
 
-    Without ``source`` that column is null, and the scan need not produce it.
+    Without ``source`` that column is null, and the scan need not produce it.  ``streamed`` are the paths
+    that hold files for the source of ``files.py``; a stream of these keeps its ``log`` in a folder.
     """
     session = spark if size is None or streaming else sized_session(spark, size)
     limits = dict(limits or {})
@@ -114,12 +126,17 @@ def read_lines(
         raise ValueError("a stream reads one path")
     path = path if isinstance(path, str) else list(path)
     layout = (line_delimiter, whole, source)
+    apart = bool(streamed)
     if compression == "none":
-        lines = _text_lines(reader(), path, *layout)
+        lines = _text_lines(reader(), path, *layout, split_pattern(compression) if apart else None)
     elif compression == "gzip":
         native = _text_lines(reader(pathGlobFilter=_GZ_NAMES), path, *layout)
-        other = _decoded_lines(reader(pathGlobFilter=_OTHER_NAMES), path, "gzip", *layout)
+        other = _decoded_lines(reader(pathGlobFilter=_OTHER_NAMES), path, "gzip", *layout, apart and not whole)
         lines = native.union(other)
     else:
-        lines = _decoded_lines(reader(), path, compression, *layout)
-    return lines if session is spark else adopt(spark, lines)
+        lines = _decoded_lines(reader(), path, compression, *layout, apart and not whole)
+    lines = lines if session is spark else adopt(spark, lines)
+    if apart:
+        more = streamed_lines(spark, streamed, compression=compression, delimiter=line_delimiter, whole=whole, size=size, log=log)
+        lines = lines.union(more if source else more.select("value", F.lit(None).cast(SOURCE_TYPE).alias("source")))
+    return lines

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from millrace.functions.project import column
 from millrace.options import OptionError, ReadOptions
 from millrace.session import adopt, sized_session
-from millrace.sources.check import refuse_unread
+from millrace.sources.check import refuse_streamed, stream_roots, streamed_roots
 from millrace.sources.lines import read_lines, source_struct
 from millrace.sources.parse import parse_csv_lines, parse_json_documents, parse_json_lines
 from millrace.sources.policy import apply_policy, mark_rejects, record_columns, source_name, split_rejects
@@ -38,7 +38,7 @@ def _native_json(
 
     It is lenient about text after the first object of a line and about blank lines.
     """
-    refuse_unread(spark, options)
+    refuse_streamed(spark, options)
     session = spark if options.size is None else sized_session(spark, options.size)
     reader = session.read.schema(schema).options(
         mode="FAILFAST",
@@ -67,9 +67,13 @@ def parsed_lines(
     sampling_ratio: float = 1.0,
     source: bool = True,
     exact_text: bool = True,
+    log: str | None = None,
 ) -> DataFrame:
     """``value, source, record, ok`` for every record below the path."""
-    refuse_unread(spark, options)
+    if streaming:
+        streamed = stream_roots(spark, options, log)
+    else:
+        streamed = streamed_roots(spark, options)
     lines = read_lines(
         spark,
         options.path,
@@ -80,6 +84,8 @@ def parsed_lines(
         source=source,
         streaming=streaming,
         limits=limits,
+        streamed=streamed,
+        log=log,
     )
     if options.format == "raw":
         return lines.select(

@@ -19,10 +19,15 @@ def read_stream(
     with_source: bool | str = False,
     files_per_batch: int | None = None,
     bytes_per_batch: int | None = None,
+    every_name: str | None = None,
 ) -> DataFrame:
     """The records of ``read`` as a stream; the limits bound one micro-batch.
 
-    The checkpoint of the query remembers the files, so a restart goes on where it stopped.
+    The checkpoint of the query remembers the files, so a restart goes on where it stopped.  Spark's own
+    stream does not see names with an underscore, and decodes by name.  ``every_name`` is a folder for the
+    log of a second stream in the same query, which reads those files, whenever they come, once each; it
+    belongs to the query like its checkpoint.  The limits do not hold for them.  Without it, such files are
+    refused when the stream starts.
     """
     limits: dict[str, Any] = {}
     if files_per_batch:
@@ -31,6 +36,6 @@ def read_stream(
         limits["maxBytesPerTrigger"] = bytes_per_batch
     source = source_name(with_source)
     parsed = parsed_lines(
-        spark, options, schema, streaming=True, limits=limits, source=source is not None, exact_text=False
+        spark, options, schema, streaming=True, limits=limits, source=source is not None, exact_text=False, log=every_name
     )
     return apply_policy(parsed, options.on_reject, str(options.path), source)

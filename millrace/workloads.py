@@ -893,6 +893,56 @@ def inventory_start_after(spark, sf_dir):
     return listed.select(F.substring_index("key", "/", 1).alias("folder")).distinct()
 
 
+# --- names that say nothing -------------------------------------------------------------
+
+
+FULL_EVENT_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+
+@workload(FULL_EVENT_SQL)
+def underscore_names_events(spark, sf_dir):
+    """Half of the events in files and folders whose names begin with an underscore."""
+    out = scratch_folder(spark, "names")
+    df = table(spark, sf_dir, "events")
+    export(df.where("event_id % 2 = 0"), out, "ldjson", id="_part")
+    export(df.where("event_id % 4 = 1"), f"{out}/_sub/deep", "ldjson")
+    export(df.where("event_id % 4 = 3"), out, "ldjson")
+    return read_ldjson(spark, out, df.schema, size=64 * 1024)
+
+
+@workload(FULL_EVENT_SQL)
+def plain_bytes_any_name_events(spark, sf_dir):
+    """Plain lines under the endings of codecs, beside lines that are what their name says."""
+    out = scratch_folder(spark, "names")
+    df = table(spark, sf_dir, "events")
+    for n, ending in enumerate(("lz4", "gz", "zst", "json.snappy")):
+        export(df.where(f"event_id % 6 = {n}"), out, "ldjson", id=f"p{n}", extension=ending)
+    export(df.where("event_id % 6 = 4"), out, "ldjson", id="p4", compression="gzip")
+    export(df.where("event_id % 6 = 5"), out, "ldjson", id="p5")
+    return read_ldjson(spark, out, df.schema, size=64 * 1024)
+
+
+@workload(FULL_EVENT_SQL)
+def hidden_lz4_events(spark, sf_dir):
+    """lz4 frames that are decoded step by step, since their names hide them from Spark."""
+    out = scratch_folder(spark, "names")
+    df = table(spark, sf_dir, "events")
+    export(df, out, "ldjson", id="_part", compression="lz4", extension="bin")
+    return read_ldjson(spark, out, df.schema, compression="lz4")
+
+
+@workload(FULL_EVENT_SQL)
+def stream_late_names_events(spark, sf_dir):
+    """A stream that is started three times; files with any name come between and are read once."""
+    source, marks, log, out = (scratch_folder(spark, n) for n in ("source", "marks", "log", "out"))
+    df = table(spark, sf_dir, "events")
+    for n, (id, ending) in enumerate((("a", "ldjson"), ("_b", "ldjson"), ("c", "lz4"))):
+        export(df.where(f"event_id % 3 = {n}"), source, "ldjson", id=id, extension=ending)
+        stream = read_stream(spark, ReadOptions(source, "ldjson"), df.schema, every_name=log)
+        export_stream(stream, WriteOptions(out, "ldjson"), marks).awaitTermination()
+    return read_ldjson(spark, out, df.schema)
+
+
 # --- streams ---------------------------------------------------------------------------
 
 
