@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import mixing, packing, shingles, simhash, suffixes, toxicity
+from millrace.llm import mixing, packing, simhash, suffixes, toxicity
 from millrace.llm.common import documents, stored
 
 #: Words from which on a passage that occurs twice is removed: over 50.
@@ -26,8 +26,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles of Jaccard similarity 0.8 or more."""
-    return simhash.keep_one(docs, shingles.near_copies)
+    """One document of each group of SimHash links: three-word shingles, at most 2 of 64 bits differ."""
+    return simhash.keep_one(docs)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
