@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import scratch_folder
+from millrace.session import Files, scratch_folder
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -20,7 +20,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more: what was made of them has to be stored itself."""
+    for table in tables:
+        Files(table.sparkSession, table._stored_at).remove(table._stored_at)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Removal of repeated byte strings by bucket-pointer refinement over the suffixes of a corpus.
 
-A suffix is known by identifiers: ``id[m](i)`` names the ``m`` bytes at offset ``i``.  Names of short strings
+Letters are bytes, or words with the white space behind them (for passages that are counted in words).
+A suffix is known by identifiers: ``id[m](i)`` names the ``m`` letters at offset ``i``.  Names of short strings
 are made first, and longer ones reuse them recursively: ``id[2m](i)`` is made of the identifiers at ``i`` and at
 the later offset ``i + m``.  Equal strings have equal names wherever they stand, so buckets of suffixes can be
 refined in any task.
@@ -21,22 +22,24 @@ Names have 64 bits, and strings are compared within the bucket of a q-gram with
 
 from __future__ import annotations
 
-import bisect
 import hashlib
-import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, stored
+from millrace.llm.common import discard, slices, stored
 from millrace.session import scratch_folder
 
-#: Bytes of a repeated string, of a q-gram, strings in a block, and bytes that are named at once.
+#: Bytes of a repeated string, of a q-gram, strings in a block, and letters that are named at once.
 REPEAT, GRAM, STRINGS, PIECE = 400, 24, 32, 1 << 17
+#: Words of a q-gram, and strings of words in a block.
+WORD_GRAM, WORD_STRINGS = 8, 8
 
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
@@ -53,16 +56,83 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _LETTERS = _mix(np.arange(1, 257, dtype=np.uint64), np.arange(257, 513, dtype=np.uint64))
 
 
+#: A factor, and what undoes it modulo 2 ** 64.
+_TURN, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+#: Bytes that are no white space.
+_INK = np.array([b not in b" \t\n\r\x0b\x0c" for b in range(256)])
+
+
+def _powers(base: int, exponents: np.ndarray) -> np.ndarray:
+    """``base`` to each of the exponents, modulo 2 ** 64."""
+    out, square, left = np.ones(len(exponents), np.uint64), base, exponents.copy()
+    while left.any():
+        digit = left & 255
+        table = np.cumprod(np.array([1] + [square] * 255, np.uint64))
+        out *= table[digit]
+        left >>= 8
+        square = pow(square, 256, 1 << 64)
+    return out
+
+
+class Words:
+    """The words of a body, runs of bytes that are not white space, and names of what begins and ends with one.
+
+    A polynomial modulo 2 ** 64 over the bytes names any substring by a difference of two sums.
+    """
+
+    def __init__(self, body: bytes) -> None:
+        octets = np.frombuffer(body, np.uint8)
+        ink = np.concatenate([[False], _INK[octets], [False]])
+        self.begin = np.flatnonzero(ink[1:] & ~ink[:-1])
+        self.end = np.flatnonzero(ink[:-1] & ~ink[1:])
+        self._sums = np.zeros(len(octets) + 1, np.uint64)
+        for at in range(0, len(octets), PIECE):
+            some = np.arange(at, min(at + PIECE, len(octets)))
+            self._sums[some + 1] = self._sums[at] + np.cumsum(_LETTERS[octets[some]] * _powers(_TURN, some))
+
+    def named(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mix((self._sums[end] - self._sums[begin]) * _powers(_BACK, begin), (end - begin).astype(np.uint64))
+
+    def letters(self) -> np.ndarray:
+        """The name of each word with the white space behind it; the last word is without."""
+        return self.named(self.begin, np.append(self.begin[1:], self.end[-1:]))
+
+
+class Scale(NamedTuple):
+    """What a string is made of: letters, how many of them are a string and a q-gram, and strings in a block."""
+
+    repeat: int
+    gram: int
+    strings: int
+    read: Callable[[bytes], bytes | np.ndarray]
+
+    def joined(self, buffers: list) -> np.ndarray:
+        return np.concatenate(buffers) if isinstance(buffers[0], np.ndarray) else _LETTERS[np.frombuffer(b"".join(buffers), np.uint8)]
+
+    def names(self, buffers: list) -> "Names":
+        return Names(self.joined(buffers), self.gram, self.repeat)
+
+
+def bytes_scale(repeat: int) -> Scale:
+    """Strings of ``repeat`` bytes."""
+    return Scale(repeat, GRAM, STRINGS, bytes)
+
+
+def words_scale(words: int) -> Scale:
+    """Strings of ``words`` words and the white space behind each: a letter is the name of one of these."""
+    return Scale(words, WORD_GRAM, WORD_STRINGS, lambda body: Words(body).letters())
+
+
 class Names:
-    """Identifiers of all substrings of a buffer, from GRAM bytes to twice ``longest``."""
+    """Identifiers of all substrings of a buffer of letters, from ``gram`` letters to twice ``longest``."""
 
-    def __init__(self, octets: np.ndarray, longest: int) -> None:
+    def __init__(self, letters: np.ndarray, gram: int, longest: int) -> None:
         self.by: dict[int, np.ndarray] = {}
-        now, m = _LETTERS[octets], 1
-        while 2 * m <= GRAM:
+        now, m = letters, 1
+        while 2 * m <= gram:
             now, m = _mix(now[: max(0, len(now) - m)], now[m:]), 2 * m
-        if m < GRAM:
-            now, m = _mix(now[: max(0, len(now) - (GRAM - m))], now[GRAM - m :]), GRAM
+        if m < gram:
+            now, m = _mix(now[: max(0, len(now) - (gram - m))], now[gram - m :]), gram
         self.by[m] = now
         while 2 * m <= longest:
             now, m = _mix(now[: max(0, len(now) - m)], now[m:]), 2 * m
@@ -90,14 +160,14 @@ def _unpacked(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return places >> 20, places >> 10 & 1023, places & 1023
 
 
-def _anchors(names: Names, firsts: np.ndarray, counts: np.ndarray, repeat: int):
+def _anchors(names: Names, firsts: np.ndarray, counts: np.ndarray, scale: Scale):
     """(anchor, first string, last string) in the buffer, for strings at ``firsts`` + 0 .. ``counts`` - 1.
 
     The anchor of a string is its leftmost q-gram with the smallest upper 32 bits.
     """
-    grams = names.by[GRAM]
+    grams = names.by[scale.gram]
     low = grams & ~np.uint64(0xFFFFFFFF) | np.arange(len(grams), dtype=np.uint64)
-    width, m = repeat - GRAM + 1, 1
+    width, m = scale.repeat - scale.gram + 1, 1
     while 2 * m <= width:
         low, m = np.minimum(low[:-m], low[m:]), 2 * m
     if m < width:
@@ -110,13 +180,13 @@ def _anchors(names: Names, firsts: np.ndarray, counts: np.ndarray, repeat: int):
     return anchor[edge], starts[edge], starts[last]
 
 
-def _stretches(texts: list[tuple[int, bytes]], repeat: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _stretches(texts: list[tuple[int, bytes | np.ndarray]], scale: Scale) -> Iterator[tuple[np.ndarray, ...]]:
     """(row, place, q-gram name, stretch name) of every anchor of the texts.
 
     Short texts are named together, a text longer than PIECE in overlapping parts.
     """
-    reach = repeat - GRAM
-    held: list[tuple[int, bytes, int, int]] = []  # row, text, first and one after the last string
+    repeat, reach = scale.repeat, scale.repeat - scale.gram
+    held: list[tuple[int, bytes | np.ndarray, int, int]] = []  # row, text, first and one after the last string
     size = 0
 
     def named(parts):
@@ -128,14 +198,14 @@ def _stretches(texts: list[tuple[int, bytes]], repeat: int) -> Iterator[tuple[np
             rows.append(row), offsets.append(at - left), firsts.append(at + first - left)
             counts.append(end - first), lengths.append(len(text))
             at += len(cut)
-        names = Names(np.frombuffer(b"".join(buffers), np.uint8), repeat)
+        names = scale.names(buffers)
         firsts, offsets = np.array(firsts), np.array(offsets)
-        anchor, low, high = _anchors(names, firsts, np.array(counts), repeat)
+        anchor, low, high = _anchors(names, firsts, np.array(counts), scale)
         part = np.searchsorted(firsts, low, side="right") - 1
         place = anchor - offsets[part]
         left, right = np.minimum(place, reach), np.minimum(np.array(lengths)[part] - place, repeat)
         whole = _mix(names.of(anchor - left, left + right), (left << 10 | right).astype(np.uint64))
-        return np.array(rows)[part], place, anchor - high, anchor - low, names.by[GRAM][anchor], whole
+        return np.array(rows)[part], place, anchor - high, anchor - low, names.by[scale.gram][anchor], whole
 
     def flush():
         row, place, low, high, gram, whole = named(held)
@@ -161,14 +231,14 @@ def _stretches(texts: list[tuple[int, bytes]], repeat: int) -> Iterator[tuple[np
         yield flush()
 
 
-def _requests(rows, repeat: int) -> Iterator[tuple[Names, np.ndarray, ...]]:
+def _requests(rows, scale: Scale) -> Iterator[tuple[Names, np.ndarray, ...]]:
     """(names, row, anchor in the buffer, place, low, high, bytes left and right of it in the text)."""
-    reach = repeat - GRAM
+    repeat, reach = scale.repeat, scale.repeat - scale.gram
     buffers, at, out = [], 0, []
 
     def flush():
         joined = [np.concatenate(x) for x in zip(*out)]
-        return Names(np.frombuffer(b"".join(buffers), np.uint8), repeat), *joined
+        return scale.names(buffers), *joined
 
     for row, text, places in rows:
         anchor, low, high = _unpacked(np.sort(np.asarray(places, np.int64)))
@@ -197,25 +267,26 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _blocks(rows, repeat: int) -> Iterator[tuple[np.ndarray, ...]]:
-    for names, row, anchor, place, low, high, left, right in _requests(rows, repeat):
-        owner, k = _spread(high // STRINGS - low // STRINGS + 1)
-        block = low[owner] // STRINGS + k
-        near, far = block * STRINGS, np.minimum(block * STRINGS + STRINGS - 1, repeat - GRAM)
+def _blocks(rows, scale: Scale) -> Iterator[tuple[np.ndarray, ...]]:
+    repeat, strings = scale.repeat, scale.strings
+    for names, row, anchor, place, low, high, left, right in _requests(rows, scale):
+        owner, k = _spread(high // strings - low // strings + 1)
+        block = low[owner] // strings + k
+        near, far = block * strings, np.minimum(block * strings + strings - 1, repeat - scale.gram)
         at = anchor[owner]
         core = names.of(at - near, repeat + near - far)
         before, after = np.minimum(far, left[owner]), np.minimum(repeat - near, right[owner])
         full = _mix(names.of(at - before, before + after), (before << 10 | after).astype(np.uint64))
         places = _packed(place[owner], np.maximum(near, low[owner]), np.minimum(far, high[owner]))
-        yield row[owner], places, names.by[GRAM][at], block, core, full
+        yield row[owner], places, names.by[scale.gram][at], block, core, full
 
 
-def _strings(rows, repeat: int) -> Iterator[tuple[np.ndarray, ...]]:
-    for names, row, anchor, place, low, high, _, _ in _requests(rows, repeat):
+def _strings(rows, scale: Scale) -> Iterator[tuple[np.ndarray, ...]]:
+    for names, row, anchor, place, low, high, _, _ in _requests(rows, scale):
         owner, k = _spread(high - low + 1)
         before = low[owner] + k
-        name = names.of(anchor[owner] - before, np.full(len(owner), repeat))
-        yield row[owner], _packed(place[owner], before, before), names.by[GRAM][anchor[owner]], before, name, name
+        name = names.of(anchor[owner] - before, np.full(len(owner), scale.repeat))
+        yield row[owner], _packed(place[owner], before, before), names.by[scale.gram][anchor[owner]], before, name, name
 
 
 KEYS = ("gram", "part", "core", "whole")
@@ -231,14 +302,14 @@ def _item_batches(found: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays(columns, names=["row", "place", "gram", "part", "core", "whole"])
 
 
-def _refine(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(places that are repeated as a whole, one place of each name in buckets with several names)."""
+def _refine(items: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(places that are repeated as a whole, one place of each name in buckets with several names, tables of use)."""
     one = F.min(F.struct("row", "place")).alias("one")
     names = stored(items.groupBy(*KEYS).agg(F.count("*").alias("n"), one), "names")
     repeated = items.join(names.where("n > 1").select(*KEYS), list(KEYS)).select("row", "place")
     # stored, so that the join below has a shuffle on either side and a large bucket can be split
     buckets = stored(names.groupBy(*KEYS[:3]).agg(F.count("*").alias("names")).where("names > 1"), "buckets")
-    return repeated, names.join(buckets, list(KEYS[:3])).select("one.row", "one.place")
+    return repeated, names.join(buckets, list(KEYS[:3])).select("one.row", "one.place"), [names, buckets]
 
 
 def _numbered(docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -257,40 +328,52 @@ def _numbered(docs: DataFrame, carried: list[str]) -> DataFrame:
     return spark.table(name)
 
 
-def _at_places(bodies: DataFrame, wanted: DataFrame, find, repeat: int) -> DataFrame:
+def _at_places(bodies: DataFrame, wanted: DataFrame, find, scale: Scale) -> DataFrame:
     """The items that ``find`` makes of the wanted places (row, place), with the bodies at hand."""
     lists = wanted.groupBy("row").agg(F.collect_list("place").alias("places"))
 
     def run(batches):
         for batch in slices(batches, "body"):
-            yield from _item_batches(find(zip(*(c.to_pylist() for c in batch.columns)), repeat))
+            rows, texts, places = (c.to_pylist() for c in batch.columns)
+            yield from _item_batches(find(zip(rows, map(scale.read, texts), places), scale))
 
     return bodies.select("row", "body").join(lists, "row").mapInArrow(run, ITEM)
 
 
-def repeated_places(bodies: DataFrame, repeat: int = REPEAT, sift: bool = False) -> DataFrame:
-    """(row, place) of all strings of ``repeat`` bytes that also start anywhere else in ``bodies``.
+def repeated_places(bodies: DataFrame, scale: Scale) -> list[DataFrame]:
+    """(row, place) of all strings of the scale that also start anywhere else in ``bodies``: three stored tables.
 
-    ``sift`` leaves anchors out early whose q-gram is the anchor of no other strings; short strings have many.
+    Anchors of words are left out early if their q-gram is the anchor of no other strings; those of bytes are
+    too few for that to pay.  What a step leaves behind is removed when the next one is stored.
     """
 
     def run(batches):
         for batch in slices(batches, "body"):
-            texts = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for row, place, gram, whole in _stretches(texts, repeat):
+            texts = list(zip(batch.column(0).to_pylist(), map(scale.read, batch.column(1).to_pylist())))
+            for row, place, gram, whole in _stretches(texts, scale):
                 yield from _item_batches([(row, place, gram, np.zeros(len(row), np.int32), gram, whole)])
 
     stretches = bodies.select("row", "body").mapInArrow(run, ITEM)
-    if sift:
+    if scale.gram == WORD_GRAM:
         anchors = stored(stretches.select("row", "place", "gram", "whole"), "anchors")
         shared = stored(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
         stretches = anchors.join(shared, "gram", "left_semi").select("row", "place", "gram", F.lit(0).alias("part"), F.col("gram").alias("core"), "whole")
-    stretches = stored(stretches, "stretches")
-    repeated, open_stretches = _refine(stretches)
-    blocks = stored(_at_places(bodies, open_stretches, _blocks, repeat), "blocks")
-    more, open_blocks = _refine(blocks)
-    strings = stored(_at_places(bodies, open_blocks, _strings, repeat), "strings")
-    return repeated.unionByName(more).unionByName(_refine(strings)[0])
+        stretches = stored(stretches, "stretches")
+        discard(anchors, shared)
+    else:
+        stretches = stored(stretches, "stretches")
+    found = []
+    items = stretches
+    for find in (_blocks, _strings):
+        repeated, open_items, used = _refine(items)
+        found.append(stored(repeated, "repeated"))
+        following = stored(_at_places(bodies, open_items, find, scale), find.__name__.strip("_"))
+        discard(items, *used)
+        items = following
+    repeated, _, used = _refine(items)
+    found.append(stored(repeated, "repeated"))
+    discard(items, *used)
+    return found
 
 
 def merged_spans(places, repeat: int) -> list[tuple[int, int]]:
@@ -309,57 +392,67 @@ def joined_spans(pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return spans
 
 
-def word_windows(body: bytes, spans: list[tuple[int, int]], words: int) -> Iterator[tuple[int, int]]:
-    """(begin, end) of each run of ``words`` words, blanks between them included, inside one of ``spans``."""
-    found = [m.span() for m in re.finditer(rb"\S+", body)]
-    begins = [p for p, _ in found]
-    for begin, end in spans:
-        k = bisect.bisect_left(begins, begin)
-        while k + words <= len(found) and found[k + words - 1][1] <= end:
-            yield found[k][0], found[k + words - 1][1]
-            k += 1
-
+def _repeated_passages(bodies: DataFrame, places: DataFrame, words: int) -> DataFrame:
+    """(row, word) of the first word of each run of ``words`` words that is repeated byte by byte; stored.
 
-def _repeated_passages(bodies: DataFrame, places: DataFrame, repeat: int, words: int) -> DataFrame:
-    """(row, begin, end) of the runs of ``words`` words that are repeated, of all that ``places`` cover."""
+    ``places`` are repeated strings of one word less, with the white space behind each; only those can begin
+    such a run.
+    """
     lists = places.groupBy("row").agg(F.collect_list("place").alias("places"))
+    schema = pa.schema([("row", pa.int64()), ("word", pa.int32()), ("name", pa.int64())])
 
     def run(batches):
         for batch in slices(batches, "body"):
-            for row, body, places in zip(*(c.to_pylist() for c in batch.columns)):
-                at = list(word_windows(body, merged_spans(places, repeat), words))
-                for k in range(0, len(at), 20_000):
-                    some = at[k : k + 20_000]
-                    names = [hashlib.blake2b(body[p:q], digest_size=16).digest() for p, q in some]
-                    columns = [pa.array([row] * len(some), pa.int64()), *(pa.array(x, pa.int64()) for x in zip(*some)), pa.array(names, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["row", "begin", "end", "name"])
+            for row, body, held in zip(*(c.to_pylist() for c in batch.columns)):
+                of = Words(body)
+                anchor, low, high = _unpacked(np.asarray(held, np.int64))
+                owner, k = _spread(high - low + 1)
+                first = np.unique(anchor[owner] - high[owner] + k)
+                first = first[first + words <= len(of.begin)]
+                names = of.named(of.begin[first], of.end[first + words - 1]).view(np.int64)
+                for at in range(0, len(first), 20_000):
+                    some = slice(at, at + 20_000)
+                    columns = [pa.array(np.full(len(first[some]), row)), pa.array(first[some].astype(np.int32)), pa.array(names[some])]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     met = bodies.select("row", "body").join(lists, "row")
-    windows = stored(met.mapInArrow(run, "row long, begin long, end long, name binary"), "windows")
+    windows = stored(met.mapInArrow(run, "row long, word int, name long"), "windows")
     twice = stored(windows.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "twice")
-    return windows.join(twice, "name").select("row", "begin", "end")
+    found = stored(windows.join(twice, "name").select("row", "word"), "passages")
+    discard(windows, twice)
+    return found
+
+
+def passage_spans(body: bytes, first: list[int] | None, words: int) -> list[tuple[int, int]]:
+    """Maximal byte runs of the runs of ``words`` words that begin with the words ``first``, in order."""
+    if not first:
+        return []
+    of, first = Words(body), np.asarray(first)
+    return joined_spans(list(zip(of.begin[first].tolist(), of.end[first + words - 1].tolist())))
 
 
 def _cut(docs: DataFrame, repeat: int, carried: list[str], answer, schema: str, words: int = 0) -> DataFrame:
     """(carried, and ``answer(body, spans)`` in the order of ``schema``) for each row of ``docs``.
 
-    With ``words``, spans are the repeated runs of so many words, and ``repeat`` bytes the least that they have.
+    Spans are the repeated strings of ``repeat`` bytes, or with ``words`` the repeated runs of so many words.
     """
-    if not GRAM < repeat < 1000:
-        raise ValueError(f"repeats of {GRAM + 1} to 999 bytes are supported, not {repeat}")
+    scale = words_scale(words - 1) if words else bytes_scale(repeat)
+    if not scale.gram < scale.repeat < 1000:
+        raise ValueError(f"repeats of {GRAM + 1} to 999 bytes or {WORD_GRAM + 2} to 1000 words are supported, not {words or repeat}")
     bodies = _numbered(docs, carried)
-    found = stored(repeated_places(bodies, repeat, sift=words > 0), "repeats")
+    parts = repeated_places(bodies, scale)
+    found = reduce(DataFrame.unionByName, parts)
     if words:
-        found = stored(_repeated_passages(bodies, found, repeat, words), "passages")
-    place = F.struct("begin", "end") if words else F.col("place")
-    lists = found.groupBy("row").agg(F.collect_list(place).alias("places"))
+        found = _repeated_passages(bodies, found, words)
+        discard(*parts)
+    lists = found.groupBy("row").agg(F.collect_list(found.columns[1]).alias("places"))
     fields = [field.split() for field in schema.split(", ")]
     names, types = ["carried", *(n for n, _ in fields)], [{"long": pa.int64(), "string": pa.string()}[t] for _, t in fields]
 
     def run(batches):
         for batch in slices(batches, "body"):
-            spans_of = (lambda x: joined_spans([(s["begin"], s["end"]) for s in x or []])) if words else (lambda x: merged_spans(x, repeat))
-            rows = [answer(body, spans_of(places)) for body, places in zip(*(batch.column(k).to_pylist() for k in (1, 2)))]
+            held = zip(*(batch.column(k).to_pylist() for k in (1, 2)))
+            rows = [answer(body, passage_spans(body, at, words) if words else merged_spans(at, repeat)) for body, at in held]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names=names)
 
     met = bodies.join(lists, "row", "left").select("carried", "body", "places")
@@ -391,10 +484,12 @@ def cut_passages(docs: DataFrame, words: int) -> DataFrame:
     """All rows and columns of ``docs`` with texts without passages of ``words`` words or more that are repeated.
 
     Words are runs of bytes that are not white space; a passage goes from the first byte of its first word to
-    the last of its last, and is repeated byte by byte.  No such passage is shorter than a byte for each word
-    and for each blank between, so repeats of that length are found and the words in them are compared.
+    the last of its last, and is repeated byte by byte.  The refinement runs over words instead of bytes: first
+    for strings of one word less, with the white space behind each, then for the passages that these begin.
+    Null and empty texts and those with fewer words stay as they are; rows that repeat a text repeat its
+    passages, whatever their doc_id; an empty table gives no rows.
     """
-    return cut_documents(docs, 2 * words - 1, words)
+    return cut_documents(docs, words=words)
 
 
 def cut_documents(docs: DataFrame, repeat: int = REPEAT, words: int = 0) -> DataFrame:

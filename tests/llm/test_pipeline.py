@@ -8,8 +8,8 @@ import pytest
 import corpus_pipeline as pipeline
 from millrace.llm import mixing
 
+from .test_passages import plain as without_passages
 from .test_simhash import expected
-from .test_suffixes import brute
 from .test_tokens import check_packing, plain  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
@@ -47,12 +47,11 @@ def test_one_of_each_group_stays(kept):
 
 
 def test_passages_go(kept):
-    rows = {r.doc_id: r.text for r in kept[2].collect()}
-    want = {r[0]: (r[1], r[2]) for r in brute(list(rows.items()), pipeline.REPEAT)}
-    for r in kept[3].collect():
-        size, removed = want[r.doc_id]
-        assert size - removed - 6 <= len(r.text.encode()) <= size - removed and r.n_chars == len(r.text)
-    assert sum(n for _, n in want.values()) > 1000
+    rows = [(r.doc_id, r.text) for r in kept[2].collect()]
+    want = dict(zip([d for d, _ in rows], without_passages([t for _, t in rows], pipeline.PASSAGE)))
+    got = {r.doc_id: r for r in kept[3].collect()}
+    assert {d: r.text for d, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
+    assert sum(len(t or "") for _, t in rows) - sum(map(len, want.values())) > 1000
 
 
 def test_mix_is_that_of_the_sql(kept):

@@ -74,8 +74,8 @@ def test_names_depend_on_content_only():
     import numpy as np
 
     text = bytes(random.Random(1).choices(range(256), k=900))
-    a = suffixes.Names(np.frombuffer(text, np.uint8), 400)
-    b = suffixes.Names(np.frombuffer(b"123" + text, np.uint8), 400)
+    a = suffixes.bytes_scale(400).names([text])
+    b = suffixes.bytes_scale(400).names([b"123" + text])
     for length in (24, 25, 47, 48, 400, 760):
         for at in (0, 5, 130):
             x, y = (n.of(np.array([i]), np.array([length]))[0] for n, i in ((a, at), (b, at + 3)))
