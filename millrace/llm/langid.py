@@ -10,12 +10,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import discard, stored
 
-#: Entries of the model that travels to the workers: the most frequent words and n-grams of all training
-#: text.  Rarer words are scored by joins with the whole tables.
-MAX_WORDS = 200_000
-MAX_GRAMS = 200_000
+#: Bytes of the scores that travel to the workers: those of the most frequent words of all training text, as
+#: many as fit.  Rarer words are scored by joins with the whole tables.
+MAX_BYTES = 16 << 20
 #: Longest n-gram tried for an unseen word; then one shorter, and so on.
 LONGEST = 4
 #: Added to every count.
@@ -28,14 +27,6 @@ def words_of(text: str = "text") -> F.Column:
     return F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"\p{L}+"), F.lit(0))
 
 
-class Model(NamedTuple):
-    langs: list[str]
-    words: pa.Array
-    word_scores: np.ndarray  # a row for each word and one for none, a column for each language
-    grams: dict[str, int]
-    gram_scores: dict[int, np.ndarray]  # n: as word_scores, by place in grams
-
-
 def _frequent(counts: DataFrame, key: str, most: int) -> DataFrame:
     """The rows of the keys with the highest totals, at most ``most`` keys; ties at the edge are left out."""
     totals = counts.groupBy(key).agg(F.sum("n").alias("total"))
@@ -69,10 +60,10 @@ class Counts(NamedTuple):
     gram_different: dict[int, int]
 
 
-def _grams_of(framed: str) -> F.Column:
-    """All n-grams of a column, repeats included."""
-    each = [f"transform(sequence(1, length({framed}) - {n - 1}), i -> substring({framed}, i, {n}))" for n in range(1, LONGEST + 1)]
-    return F.flatten(F.array(*[F.when(F.length(framed) >= n, F.expr(x)).otherwise(F.array()) for n, x in enumerate(each, 1)]))
+def _grams_of(framed: str, orders: range) -> F.Column:
+    """All n-grams of a column, repeats included, for each n of ``orders``."""
+    each = [f"transform(sequence(1, length({framed}) - {n - 1}), i -> substring({framed}, i, {n}))" for n in orders]
+    return F.flatten(F.array(*[F.when(F.length(framed) >= n, F.expr(x)).otherwise(F.array()) for n, x in zip(orders, each)]))
 
 
 def _framed() -> F.Column:
@@ -85,7 +76,7 @@ def count(train: DataFrame) -> Counts:
     counts = stored(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
     size = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(size)
-    pieces = counts.select("lang", "n", _framed()).select("lang", "n", F.explode(_grams_of("framed")).alias("gram"))
+    pieces = counts.select("lang", "n", _framed()).select("lang", "n", F.explode(_grams_of("framed", range(1, LONGEST + 1))).alias("gram"))
     grams = stored(pieces.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     length = F.length("gram").alias("length")
     total = {(r.length, r.lang): r.n for r in grams.groupBy(length, "lang").agg(F.sum("n").alias("n")).collect()}
@@ -97,33 +88,11 @@ def count(train: DataFrame) -> Counts:
     )
 
 
-def learn(train: DataFrame) -> Model:
-    """The model of the most frequent words and n-grams of ``train`` (text, lang)."""
-    return bounded(count(train))
-
-
-def bounded(counts: Counts) -> Model:
-    """What of ``counts`` goes to the driver and the workers; scores are those of the whole tables."""
-    langs = counts.langs
-    keys, table = _table(_frequent(counts.words, "word", MAX_WORDS), "word", langs)
-    word_scores = np.log((table + PRIOR) / (np.array(counts.sizes, float) + PRIOR * (counts.different + 1)))
-    names, table = _table(_frequent(counts.grams, "gram", MAX_GRAMS), "gram", langs)
-    lengths = np.array([len(g) for g in names], int)
-    gram_scores = np.zeros_like(table)
-    for n in range(1, LONGEST + 1):
-        mine = lengths == n
-        gram_scores[mine] = np.log((table[mine] + PRIOR) / (np.array(counts.gram_sizes[n], float) + PRIOR * (counts.gram_different[n] + 1)))
-    return Model(langs, pa.array(keys, pa.string()), word_scores, {g: i for i, g in enumerate(names)}, gram_scores)
-
-
-def backoff(model: Model, word: str) -> np.ndarray:
-    """The mean score of the longest n-grams of which the model knows any; zeros if it knows none."""
-    framed = f"^{word}$"
-    for n in range(min(LONGEST, len(framed)), 0, -1):
-        known = [k for i in range(len(framed) - n + 1) if (k := model.grams.get(framed[i : i + n])) is not None]
-        if known:
-            return model.gram_scores[known].mean(0)
-    return np.zeros(len(model.langs))
+def frequent_words(counts: Counts) -> tuple[pa.Array, np.ndarray]:
+    """The words that go to the driver and the workers, and the log frequencies of each in every language."""
+    row = 8 * len(counts.langs) + 32
+    keys, table = _table(_frequent(counts.words, "word", MAX_BYTES // row), "word", counts.langs)
+    return pa.array(keys, pa.string()), np.log((table + PRIOR) / (np.array(counts.sizes, float) + PRIOR * (counts.different + 1)))
 
 
 def _by_language(counts: Counts, key: str, rows: DataFrame) -> DataFrame:
@@ -135,24 +104,24 @@ def further_scores(counts: Counts, words: DataFrame) -> DataFrame:
     """(word, s0, s1, ...) of each of ``words`` (word, different ones), from the whole tables.
 
     A word of the training text has its log frequencies.  Another has the mean of its longest n-grams of which
-    the training text has any, and no row if it has none.
+    the training text has any, and no row if it has none: all words meet the longest n-grams, and only those
+    that are left go on to the next shorter ones.
     """
     every = range(len(counts.langs))
     seen = _by_language(counts, "word", counts.words.join(words, "word"))
     log = lambda i, size, different: F.log((F.col(f"n{i}") + PRIOR) / F.lit(size + PRIOR * (different + 1)))
     seen = stored(seen.select("word", *[log(i, counts.sizes[i], counts.different).alias(f"s{i}") for i in every]), "seen")
-    unseen = words.join(seen.select("word"), "word", "left_anti").select("word", _framed())
-    pieces = stored(unseen.select("word", F.explode(_grams_of("framed")).alias("gram")), "pieces")
-    grams = _by_language(counts, "gram", counts.grams.join(pieces.select("gram").distinct(), "gram"))
-
-    def of_order(i: int) -> F.Column:
-        by = [F.when(F.length("gram") == n, log(i, counts.gram_sizes[n][i], counts.gram_different[n])) for n in range(1, LONGEST + 1)]
-        return F.coalesce(*by).alias(f"s{i}")
-
-    scored = stored(grams.select("gram", *[of_order(i) for i in every]), "gram_scores")
-    met = pieces.join(scored, "gram").groupBy("word", F.length("gram").alias("length")).agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in every])
-    best = met.groupBy("word").agg(F.max_by(F.struct(*[f"s{i}" for i in every]), "length").alias("best"))
-    return seen.unionByName(best.select("word", "best.*"))
+    left = stored(words.join(seen.select("word"), "word", "left_anti").select("word", _framed()), "unseen")
+    found = seen
+    for n in range(LONGEST, 0, -1):
+        pieces = left.select("word", F.explode(_grams_of("framed", range(n, n + 1))).alias("gram"))
+        grams = _by_language(counts, "gram", counts.grams.where(F.length("gram") == n))
+        grams = stored(grams.select("gram", *[log(i, counts.gram_sizes[n][i], counts.gram_different[n]).alias(f"s{i}") for i in every]), "gram_scores")
+        met = pieces.join(grams, "gram").groupBy("word").agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in every])
+        found = found.unionByName(met := stored(met, "met"))
+        left, before = stored(left.join(met, "word", "left_anti"), "unseen"), left
+        discard(grams, before)
+    return found
 
 
 def predict(docs: DataFrame, counts: Counts) -> DataFrame:
@@ -165,20 +134,22 @@ def predict(docs: DataFrame, counts: Counts) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), "held_out", words_of().alias("words"))
     if not counts.langs:
         return rows.select("doc_id", "held_out", F.lit(NOT_A_LANGUAGE).alias("lang_pred"), F.lit(0.0).alias("score"))
-    sent = docs.sparkSession.sparkContext.broadcast(bounded(counts)._replace(grams={}, gram_scores=None))
-    every = range(len(counts.langs))
+    # plain arrays: workers need not have this package
+    sent = docs.sparkSession.sparkContext.broadcast(frequent_words(counts))
+    n_langs = len(counts.langs)
+    every = range(n_langs)
 
     def run(batches):
-        model = sent.value
+        known, scores_of = sent.value
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 piece = batch.slice(at, 1000)
                 flat = piece.column(3).flatten().dictionary_encode()
                 lengths = pc.list_value_length(piece.column(3)).fill_null(0).to_numpy(zero_copy_only=False)
-                place = pc.index_in(flat.dictionary, value_set=model.words).fill_null(-1).to_numpy(zero_copy_only=False)
-                table = np.concatenate([model.word_scores, np.zeros((1, len(model.langs)))])[place]
+                place = pc.index_in(flat.dictionary, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+                table = np.concatenate([scores_of, np.zeros((1, n_langs))])[place]
                 tokens = flat.indices.to_numpy()
-                sums, full, starts = np.zeros((len(piece), len(model.langs))), np.flatnonzero(lengths), np.cumsum(lengths) - lengths
+                sums, full, starts = np.zeros((len(piece), n_langs)), np.flatnonzero(lengths), np.cumsum(lengths) - lengths
                 if len(full):
                     sums[full] = np.add.reduceat(table[tokens], starts[full], axis=0)
                 rare = place[tokens] < 0 if len(tokens) else np.empty(0, bool)

@@ -13,8 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows of each class that the network is fitted on, and leading words of such a row.
-TRAIN_ROWS, TRAIN_WORDS = 1600, 1500
+#: Labelled rows of each class that the network is fitted on, all their words.
+TRAIN_ROWS = 1600
 #: Words of a window, and words from one window to the next.
 WINDOW, STEP = 48, 36
 #: Known words, trigram buckets, sizes of the vectors and of the state of a direction.
@@ -265,7 +265,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, folds: int, held: int, row
     picked = of(0).unionByName(of(1)).toArrow()
     few = docs.sparkSession.createDataFrame(picked.to_pylist(), "id long, toxic int")
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(few), "id")
-    some = texts.select("id", "toxic", F.slice(words_of(), 1, TRAIN_WORDS).alias("words"))
+    some = texts.select("id", "toxic", words_of().alias("words"))
     # a doc_id may stand in any number of rows
     table = some.orderBy(*order, "words").limit(2 * rows).toArrow().combine_chunks()
     if not len(table):

@@ -1,9 +1,12 @@
 """Language identification: counts, backoff, held-out accuracy."""
 
+import collections
+import random
 import zlib
 
 import numpy as np
 import pytest
+import regex
 
 from millrace.llm import entry, langid
 
@@ -19,23 +22,56 @@ def test_prediction_of_the_table(spark):
     assert len(held) > 100 and np.mean(held) > 0.95
 
 
-def test_model_counts_and_backs_off(spark):
-    rows = [("the cat the", "en"), ("le chat", "fr"), ("das kätzchen", "de"), (None, "en"), ("x", None)]
-    model = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
-    assert model.langs == ["de", "en", "fr"]
-    words = model.words.to_pylist()
-    assert sorted(words) == ["cat", "chat", "das", "kätzchen", "le", "the"]
-    assert model.word_scores[words.index("the"), 1] == pytest.approx(np.log((2 + 0.5) / (3 + 0.5 * 7)))
-    assert langid.backoff(model, "kätzlein").argmax() == 0  # its 4-grams "^kät" and "kätz" are known
-    four = [langid.backoff(model, w) for w in ("chats", "zzat")]
-    assert four[0].argmax() == 2 and np.isfinite(four[1]).all()
-    assert langid.backoff(model, "жж").tolist() == model.gram_scores[[model.grams["^"], model.grams["$"]]].mean(0).tolist()
+def plain(rows, folds=1, held=5):
+    """(lang_pred, score) of rows (doc_id, text, lang) by dictionaries."""
+    words_of = lambda t: regex.findall(r"\p{L}+", (t or "").lower())
+    train = [(t, x) for d, t, x in rows if d is not None and t is not None and x is not None and zlib.crc32(str(d).encode()) % folds != held]
+    langs = sorted({x for t, x in train if words_of(t)})
+    words = {x: collections.Counter(w for t, y in train if y == x for w in words_of(t)) for x in langs}
+    grams = {x: collections.Counter() for x in langs}
+    for x in langs:
+        for w, k in words[x].items():
+            for n in range(1, 5):
+                for i in range(len(w) + 3 - n):
+                    grams[x][f"^{w}$"[i : i + n]] += k
+    seen = {w for x in langs for w in words[x]}
+    known = {g for x in langs for g in grams[x]}
 
+    def logs(of, key, same):
+        kinds = len({k for x in langs for k in of[x] if same(k)})
+        return np.array([np.log((of[x][key] + 0.5) / (sum(c for k, c in of[x].items() if same(k)) + 0.5 * (kinds + 1))) for x in langs])
 
-def test_model_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MAX_WORDS", 2)
-    rows = [("a a a b b c c d", "en"), ("a", "fr")]
-    assert langid.learn(spark.createDataFrame(rows, "text string, lang string")).words.to_pylist() == ["a"]
+    def score_of(w):
+        if w in seen:
+            return logs(words, w, lambda k: True)
+        for n in range(4, 0, -1):
+            found = [g for i in range(len(w) + 3 - n) if (g := f"^{w}$"[i : i + n]) in known]
+            if found:
+                return np.mean([logs(grams, g, lambda k, n=n: len(k) == n) for g in found], 0)
+        return np.zeros(len(langs))
+
+    out = []
+    for _, t, _ in rows:
+        if not langs or not words_of(t):
+            out.append(("und", 0.0))
+            continue
+        total = sum(score_of(w) for w in words_of(t))
+        out.append((langs[int(total.argmax())], 1 / np.exp(total - total.max()).sum()))
+    return out
+
+
+@pytest.mark.parametrize("most", [16 << 20, 150])
+def test_predictions_equal_a_plain_scorer(spark, monkeypatch, most):
+    monkeypatch.setattr(langid, "MAX_BYTES", most)
+    rng = random.Random(3)
+    bank = {"en": "the cat sat on a mat with that hat", "fr": "le chat est sur la table avec ce chapeau", "de": "die katze sitzt dort auf dem tisch ä"}
+    rows = [(i, " ".join(rng.choices(bank[x].split(), k=rng.randint(1, 9))), x) for i, x in enumerate(["en", "fr", "de"] * 8)]
+    rows += [(100 + i, " ".join("".join(rng.choices("acehtsxzж", k=rng.randint(1, 7))) for _ in range(rng.randint(1, 6))), None) for i in range(60)]
+    rows += [(200, None, "en"), (201, "12 !", "fr"), (202, "Le CHAT, chats; katzen", None), (None, "dort", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, folds=1, held=5).collect()}
+    for (d, _, _), (name, score) in zip(rows, plain(rows)):
+        assert got[d][0] == name and got[d][1] == pytest.approx(score), d
 
 
 def test_odd_rows(spark):

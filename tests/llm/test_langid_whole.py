@@ -10,8 +10,7 @@ def test_result_does_not_depend_on_the_bound(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(texts)], "doc_id long, text string, lang string")
     answers = lambda: {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, folds=1, held=5).collect()}
     want = answers()
-    monkeypatch.setattr(langid, "MAX_WORDS", 2)
-    monkeypatch.setattr(langid, "MAX_GRAMS", 2)
+    monkeypatch.setattr(langid, "MAX_BYTES", 150)
     got = answers()
     assert {d: x for d, (x, _) in got.items()} == {d: x for d, (x, _) in want.items()} and got[9][0] == "fr"
     assert all(got[d][1] == pytest.approx(s) for d, (_, s) in want.items())

@@ -19,12 +19,13 @@ ODD = [None, "", " ", "a", "a  b", "x \n y", "\tz ", "naïve café 日本", "<|e
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(tokens.vocabulary_path())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
-def test_encoder_equals_the_library(plain, monkeypatch):
+@pytest.mark.parametrize("joined", [1, 7, 1000])
+def test_encoder_equals_the_library(plain, monkeypatch, joined):
     monkeypatch.setattr(tokens, "CACHE_ENTRIES", 500)
+    monkeypatch.setattr(tokens, "JOINED", joined)
     rng = random.Random(5)
     signs = ["a", "b'", "'s", " ", " ", "  ", "\n", "\t", "é", "日", "1", "22", ".", ",", "\x1c", "\x85", "\r\n", "_", "😀", " "]
     texts = ["".join(rng.choices(signs, k=rng.randint(0, 14))) for _ in range(8000)]
@@ -34,6 +35,16 @@ def test_encoder_equals_the_library(plain, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == plain(text), text
 
 
+def test_names_of_special_tokens():
+    path = tokens.vocabulary_path()
+    text = "a <|endoftext|> b"
+    of = lambda encoder: np.frombuffer(encoder.many([text])[0], "<u4").tolist()
+    assert of(tokens.Encoder(path)) == [64, 220, 50256, 275]
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    assert of(tokens.Encoder(path, plain_names=True)) == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_plane_file_round_trip(bits, monkeypatch):
     monkeypatch.setattr(planes, "BLOCK_IDS", 1000)
