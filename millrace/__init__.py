@@ -16,6 +16,7 @@ from millrace.functions import (
     render_tsv,
 )
 from millrace.operators import (
+    Sender,
     counted,
     export,
     export_routed,

@@ -1,5 +1,5 @@
 from millrace.operators.counts import counted, inventory_summary
-from millrace.operators.export import export, export_routed, render, render_json, send
+from millrace.operators.export import Sender, export, export_routed, render, render_json, send
 from millrace.operators.jobs import (
     file_exporter,
     file_reader,
@@ -9,6 +9,7 @@ from millrace.operators.jobs import (
 )
 
 __all__ = [
+    "Sender",
     "counted",
     "export",
     "export_routed",

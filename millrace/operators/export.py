@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from millrace.functions.project import column
 from millrace.functions.render import (
@@ -15,10 +17,20 @@ from millrace.functions.render import (
     render_ldjson,
     render_raw,
 )
-from millrace.options import WriteOptions
-from millrace.plans.commit import drop_empty_first_part, earlier_files, publish, remove_earlier, staging_folder
+from millrace.options import OptionError, WriteOptions
+from millrace.plans.commit import (
+    drop_empty_first_part,
+    earlier_files,
+    publish,
+    publish_direct,
+    remove_earlier,
+    staging_folder,
+)
+from millrace.plans.direct import Target, write_direct
+from millrace.plans.naming import suffix
 from millrace.plans.packing import LZ4_END_MARK, pack_files, with_header
 from millrace.session import Files, small_methods
+from millrace.sources.files import opened
 
 
 def render(df: DataFrame, options: WriteOptions) -> DataFrame:
@@ -114,9 +126,74 @@ def _body_rows(df: DataFrame, options: WriteOptions) -> tuple[DataFrame, dict[st
     return lines, writer
 
 
-def send(df: DataFrame, options: WriteOptions, *, batch: int | None = None) -> int:
-    """Write every record of ``df`` and return how many there were."""
+def _direct_rows(df: DataFrame, options: WriteOptions) -> tuple[DataFrame, str | None]:
+    """Lines (and their route, sorted by it) for files that tasks name themselves, and the header of each."""
+    lines = render(df, options)
+    header = None
+    if options.include_header and options.format in ("csv", "tsv"):
+        names = list(dict.fromkeys(options.fields)) or [name for name in df.columns if name != options.route_col]
+        header = header_line(names, options.separator)
+    if options.dynamic_routing:
+        route = column(options.route_col)
+        return lines.select("value", route.alias("route")).sortWithinPartitions("route"), header
+    return lines.select("value"), header
+
+
+# Settings of a connection that only Hadoop knows.
+_HADOOP_ONLY = ("fs.s3a.access.key", "fs.s3a.endpoint")
+
+
+def _opens(spark: SparkSession, path: str) -> bool:
+    """Whether tasks can open files there themselves, with the connection that Spark would use."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    if path.startswith("s3") and any(conf.getRaw(key) for key in _HADOOP_ONLY):
+        return False
+    try:
+        opened(path)
+    except (OSError, pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return False
+    return True
+
+
+def _send_direct(df: DataFrame, options: WriteOptions, batch: int | None, run: str) -> int:
+    spark = df.sparkSession
+    rows, header = _direct_rows(_arranged(df, options), options)
+    root = Files(spark, options.path).qualified(options.path)
+    hive = options.dynamic_routing and options.layout_mode == "hive"
+    bounded = options.format == "json" or options.compression == "lz4" or (options.dynamic_routing and header is not None)
+
+    def write(offset: int, low: int, manifest: str) -> None:
+        target = Target(
+            path=root,
+            id=options.id,
+            ending=suffix(options.format, options.compression, options.extension),
+            compression=options.compression,
+            delimiter=options.line_delimiter,
+            array=options.format == "json",
+            header=header,
+            routed=options.dynamic_routing,
+            route_prefix=f"{options.route_col}=" if hive else "",
+            records_per_file=options.records_per_file,
+            bytes_per_file=options.bytes_per_file if bounded else None,
+            offset=offset,
+            low=low,
+            manifest=manifest,
+        )
+        with small_methods(spark):
+            write_direct(rows, target)
+
+    return publish_direct(spark, options, batch, run, write)
+
+
+def send(df: DataFrame, options: WriteOptions, *, batch: int | None = None, run: str | None = None) -> int:
+    """Write every record of ``df`` and return how many there were.
+
+    ``run`` tells the run of the job; without it, that is the application.
+    """
     spark = df.sparkSession
+    run = run or spark.sparkContext.applicationId
+    if options.naming_mode == "direct" and _opens(spark, Files(spark, options.path).qualified(options.path)):
+        return _send_direct(df, options, batch, run)
     counts = Observation()
     # counted in the stage that writes: a repeated task of that stage is not counted twice
     counted = _arranged(df, options).observe(counts, F.count(F.lit(1)).alias("records"))
@@ -131,10 +208,12 @@ def send(df: DataFrame, options: WriteOptions, *, batch: int | None = None) -> i
         try:
             with small_methods(spark):
                 writer.text(staging)
-            publish(spark, staging, options, batch)
+            publish(spark, staging, options, batch, run)
         finally:
             Files(spark, options.path).remove(staging)
     else:
+        if options.layout == "plain" and options.dynamic_routing:
+            raise OptionError("on a store that only Hadoop can open, layout 'plain' needs naming 'exact'")
         # a stream batch owns a folder, so that a second try replaces the first
         folder = options.path if batch is None else posixpath.join(options.path, f"batch={batch}")
         mode = "append" if batch is None else "overwrite"
@@ -147,6 +226,21 @@ def send(df: DataFrame, options: WriteOptions, *, batch: int | None = None) -> i
     return counts.get["records"]
 
 
+class Sender:
+    """One run of an export job: every ``send`` is its next slice.
+
+    A new sender with the same settings is a new run: its first slice replaces what the last run has written,
+    also if that run died half way.
+    """
+
+    def __init__(self, options: WriteOptions):
+        self.options = options
+        self.run = uuid.uuid4().hex
+
+    def send(self, df: DataFrame) -> int:
+        return send(df, self.options, run=self.run)
+
+
 def _options(path: str, format: str, settings: dict[str, Any]) -> WriteOptions:
     return WriteOptions(path=path, format=format, **settings)
 

@@ -181,7 +181,8 @@ class WriteOptions:
     #: True brings the rows of a route together first (a shuffle, few files); False writes each
     #: task's share of each route as it is (no shuffle; right when there are few routes)
     gather_routes: bool = True
-    #: "exact" renames the files to <id>[.<n>].<ext> at commit, "direct" keeps Spark's own names
+    #: "exact" renames the files to <id>[.<n>].<ext> at commit; in "direct" tasks write them under such names,
+    #: with gaps in the numbers (on a store that only Hadoop can open, Spark's own names are kept)
     naming: str | None = None
     #: number of output files wanted; None keeps the partitions as they are
     files: int | None = None
@@ -190,8 +191,11 @@ class WriteOptions:
     bytes_per_file: int = 64 * 1024 * 1024
     #: files that are moved to their names at the same time
     concurrency: int = 10
+    #: whose files these are: another run of the job (a new application, or a new ``Sender``) replaces what
+    #: the last one wrote.  None is the job that has the name of the id
+    job: str | None = None
     #: first number used in the file names: files with the same numbers are replaced, others stay.
-    #: None goes on after the highest number that the id has in the folder
+    #: None goes on after the highest number that stays in the folder
     first_slice: int | None = None
     #: True removes what earlier exports of the id left below the path, in all routes, once the
     #: new files are there; numbers start from 0 again
@@ -209,6 +213,7 @@ class WriteOptions:
         _text("field_delimiter", self.field_delimiter)
         _text("extension", self.extension)
         _text("route_col", self.route_col)
+        _text("job", self.job)
         object.__setattr__(self, "fields", _names(self.fields))
         for name in (
             "file_per_slice",
@@ -253,9 +258,6 @@ class WriteOptions:
                 self.file_per_slice,
                 "file_per_slice must be true on an object store: objects cannot be appended to",
             )
-        if self.dynamic_routing and self.layout == "plain":
-            _need(self.naming_mode == "exact", "layout 'plain' needs naming 'exact'")
-
     # Schemes where a rename copies the data.
     OBJECT_SCHEMES = ("s3", "s3a", "s3n", "gs", "oss", "cosn", "obs")
 
@@ -264,6 +266,10 @@ class WriteOptions:
         scheme, mark, _ = self.path.partition("://")
         return bool(mark) and scheme.lower() in self.OBJECT_SCHEMES
 
+    @property
+    def job_name(self) -> str:
+        return self.id if self.job is None else self.job
+
     @property
     def naming_mode(self) -> str:
         return self.naming or ("direct" if self.store_of_objects else "exact")

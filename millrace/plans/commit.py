@@ -7,17 +7,22 @@ files; it handles names and lengths only, never data.
 
 from __future__ import annotations
 
+import json
 import posixpath
 import re
 import uuid
 from collections import defaultdict
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
 from millrace.options import WriteOptions
+from millrace.plans.direct import FURTHER, remove_unlisted
 from millrace.plans.naming import file_name, suffix
+from millrace.plans.slices import Slice, SliceLog, superseded
 from millrace.session import Files
 
 # Fixed value: the folder name Spark gives to a partition without a value.
@@ -69,12 +74,13 @@ def _next_free(files: Files, folder: str, options: WriteOptions) -> int:
 
 
 def publish(
-    spark: SparkSession, staging: str, options: WriteOptions, batch: int | None = None
+    spark: SparkSession, staging: str, options: WriteOptions, batch: int | None = None, run: str = ""
 ) -> list[str]:
     """Move the staged files to their names and return these; empty parts are dropped.
 
     ``batch`` is the number of a stream batch: its files carry it, and whatever an earlier
-    try of the same batch left behind is replaced.
+    try of the same batch left behind is replaced.  Other files are noted in the log of slices,
+    before they are moved, and take the place of those of an earlier ``run``.
     """
     files = Files(spark, options.path)
     if not files.exists(staging):
@@ -88,32 +94,114 @@ def publish(
 
     placed = [(posixpath.join(options.path, folder), parts) for folder, parts in groups.items()]
     before = earlier_files(files, options) if options.replace and batch is None else []
+    log = SliceLog(files, options.path, options.id) if is_logged(options) and batch is None else None
+    old = [] if log is None else log.entries() if options.replace else superseded(log.entries(), options.job_name, run, None)
+    before += [posixpath.join(options.path, name) for entry in old for name in entry.files]
     with ThreadPoolExecutor(max(1, int(options.concurrency))) as movers:
         if batch is not None:
             targets = {options.path, *[target for target, _ in placed]}
-            old = movers.map(lambda target: _of_batch(files, target, options, batch), targets)
-            list(movers.map(files.remove, [path for found in old for path in found]))
-        plans = movers.map(lambda item: _names(files, *item, options, batch), placed)
+            earlier = movers.map(lambda target: _of_batch(files, target, options, batch), targets)
+            list(movers.map(files.remove, [path for found in earlier for path in found]))
+        gone = set(before)
+        plans = movers.map(lambda item: _names(files, *item, options, batch, gone), placed)
         moves = [
             (posixpath.join(staging, part), name)
             for (_, parts), names in zip(placed, plans)
             for part, name in zip(parts, names)
         ]
-        list(movers.map(lambda move: files.replace(*move), moves))
+        entry = None
+        if log is not None and moves:
+            named = tuple(name.removeprefix(options.path.rstrip("/") + "/") for _, name in moves)
+            entry = log.note(Slice(options.job_name, run, files=named))
+        try:
+            list(movers.map(lambda move: files.replace(*move), moves))
+        except BaseException:
+            if entry is not None:
+                list(movers.map(files.remove, [name for _, name in moves]))
+                log.forget([entry])
+            raise
         placed_now = {name for _, name in moves}
         list(movers.map(files.remove, [path for path in before if path not in placed_now]))
+        if entry is not None:
+            log.note(replace(entry, done=True))
+        if log is not None:
+            log.forget(old)
     return [name for _, name in moves]
 
 
+def is_logged(options: WriteOptions) -> bool:
+    """Whether an export belongs to a run of a job: not if its numbers are given, or if it appends."""
+    return options.file_per_slice and options.first_slice is None
+
+
+def publish_direct(spark: SparkSession, options: WriteOptions, batch: int | None, run: str, write: Callable[[int, int, str], None]) -> int:
+    """``write(offset, low, manifest)`` makes the files of a slice under their names; the number of records.
+
+    What the slice replaces is removed once it is done.  The log says before where its numbers begin, so what a
+    run that died has left is found by the next one.  Of a stream the entries of the last batches are kept.
+    """
+    files = Files(spark, options.path)
+    files.make_directory(options.path)
+    log = SliceLog(files, options.path, options.id)
+    entries = log.entries()
+    if batch is not None or is_logged(options):
+        old = entries if options.replace and batch is None else superseded(entries, options.job_name, run, batch)
+    else:
+        old = []
+    before = earlier_files(files, options) if options.replace and batch is None else []
+    before += [posixpath.join(options.path, name) for entry in old for name in entry.files]
+    tail = suffix(options.format, options.compression, options.extension)
+    root, every = files.qualified(options.path), {name for e in entries for name in e.files}
+    for failed in (e for e in entries if e.run == run and e.failed):
+        remove_unlisted(root, options.id, tail, range(failed.low, FURTHER), every)
+        log.forget([failed])
+    mine = [entry for entry in entries if entry.run == run and entry.done]
+    if mine:
+        offset, low = mine[0].offset, 1 + max(entry.last for entry in mine)
+    else:
+        offset = low = 1 + max([-1, *(number % FURTHER for number in _every_number(files, options))])
+    entry = log.note(Slice(options.job_name, run, batch, offset=offset, low=low))
+    manifest = posixpath.join(log.folder, entry.key.replace(".slice", ".files"))
+    try:
+        write(offset, low, files.qualified(manifest))
+    except BaseException:
+        remove_unlisted(root, options.id, tail, range(low, FURTHER), set())
+        log.note(replace(entry, failed=True))
+        raise
+    made = json.loads(files.read_text(manifest))
+    last = max([low - 1, *(_number_of(name, options) % FURTHER for name in made["files"])])
+    log.note(replace(entry, done=True, files=tuple(made["files"]), last=last))
+    remove_earlier(spark, options, before)
+    kept = {name for e in entries if e not in old for name in e.files}
+    for dead in (e for e in old if not e.done and e.low is not None):
+        remove_unlisted(root, options.id, tail, range(dead.low, low), kept)
+    log.forget(old)
+    if batch is not None:
+        log.forget([e for e in entries if e.job == options.job_name and e.batch is not None and e.batch < batch - 1])
+    files.remove(manifest)
+    return made["records"]
+
+
+def _number_of(name: str, options: WriteOptions) -> int | None:
+    """The number in the name of a file of the id."""
+    tail = suffix(options.format, options.compression, options.extension)
+    match = re.fullmatch(re.escape(options.id) + r"\.(\d+)" + re.escape(tail), posixpath.basename(name))
+    return match and int(match[1])
+
+
+def _every_number(files: Files, options: WriteOptions) -> list[int]:
+    """The numbers of all files of the id, in all folders."""
+    return [n for path, _ in files.walk(options.path) if (n := _number_of(path, options)) is not None]
+
+
 def earlier_files(files: Files, options: WriteOptions) -> list[str]:
     """All files below the target that exports of this id have made, whatever their numbers or routes."""
     if not files.exists(options.path):
         return []
     stem, tail = re.escape(options.id), re.escape(suffix(options.format, options.compression, options.extension))
-    if options.naming_mode == "exact":
-        name = re.compile(stem + (r"\.\d+" if options.file_per_slice else r"(?:-\d+)?") + tail + r"\Z")
-    else:
-        name = re.compile(stem + r"-\d{5,}-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}[-.][^/]*\Z")
+    numbered = stem + (r"\.\d+" if options.file_per_slice else r"(?:-\d+)?") + tail
+    own = stem + r"-\d{5,}-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}[-.][^/]*"
+    name = re.compile(numbered + r"\Z" if options.naming_mode == "exact" else f"(?:{numbered}|{own})" + r"\Z")
     listed = (path for path, _ in files.walk(options.path))
     mine = [path for path in listed if name.match(posixpath.basename(path)) and not path.startswith(".")]
     return [posixpath.join(options.path, path) for path in mine]
@@ -132,9 +220,9 @@ def _of_batch(files: Files, target: str, options: WriteOptions, batch: int) -> l
 
 
 def _names(
-    files: Files, target: str, parts: list[str], options: WriteOptions, batch: int | None
+    files: Files, target: str, parts: list[str], options: WriteOptions, batch: int | None, gone: set[str]
 ) -> list[str]:
-    """Final names of the parts of one folder."""
+    """Final names of the parts of one folder; ``gone`` are files that are about to be replaced."""
     naming = dict(format=options.format, compression=options.compression, extension=options.extension)
     if not options.file_per_slice:
         free = 0 if options.replace else _next_free(files, target, options)
@@ -144,7 +232,8 @@ def _names(
         stem = options.id if batch is None else f"{options.id}.{batch}"
         start = options.first_slice or 0
         if batch is None and options.first_slice is None and not options.replace:
-            start = max([-1, *_numbered(files, target, options, r"\.(\d+)")]) + 1
+            there = _numbered(files, target, options, r"\.(\d+)")
+            start = max([-1, *(number for number, path in there.items() if path not in gone)]) + 1
         names = [
             file_name(target, stem, file_per_slice=True, slice_count=start + index, **naming)
             for index in range(len(parts))

@@ -165,5 +165,19 @@ class Files:
         """Move a file over whatever has the name; one step where the file system can."""
         self._context.rename(self.path(source), self.path(target), self._overwrite)
 
+    def read_text(self, text: str) -> str:
+        stream = self._fs.open(self.path(text))
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+        finally:
+            stream.close()
+
+    def write_text(self, text: str, body: str) -> None:
+        stream = self._fs.create(self.path(text), True)
+        try:
+            stream.write(bytearray(body.encode("utf-8")))
+        finally:
+            stream.close()
+
     def remove(self, text: str) -> None:
         self._fs.delete(self.path(text), True)

@@ -31,12 +31,13 @@ def streamed_roots(spark: SparkSession, options: ReadOptions) -> list[str]:
         root = files.qualified(path)
         try:
             opened(root)
+            found = any(is_streamed(f.name, f.size, options.compression, whole) for f in listed(root))
         except (OSError, pa.ArrowInvalid, pa.ArrowNotImplementedError):
             if files.exists(path):
                 names = files.walk(path) if files.is_directory(path) else [(posixpath.basename(path), files.length(path))]
                 _refuse(path, [name for name, size in names if is_streamed(name, size, options.compression, whole) and not _large_only(name, options)])
             continue
-        if any(is_streamed(f.name, f.size, options.compression, whole) for f in listed(root)):
+        if found:
             roots.append(root)
     return roots
 

@@ -18,6 +18,7 @@ from millrace.functions import (
     render_ldjson,
 )
 from millrace.operators import (
+    Sender,
     counted,
     export,
     export_routed,
@@ -656,6 +657,41 @@ def two_batches_orders(spark, sf_dir):
     return read_ldjson(spark, out, ORDER_TYPE)
 
 
+@workload(ORDER_SQL)
+def rerun_job_orders(spark, sf_dir):
+    """A job of two batches died in its second one and runs again, with other batches: its rows are there once."""
+    out = scratch_folder(spark, "rerun")
+    df = table(spark, sf_dir, "orders").select(ORDER_COLUMNS)
+    options = WriteOptions(out, "ldjson", files=4)
+    died = Sender(options)
+    for k in range(3):
+        died.send(df.where(F.pmod("o_orderkey", F.lit(4)) == k))
+    again = Sender(options)
+    for k in range(2):
+        again.send(df.where(F.pmod("o_orderkey", F.lit(2)) == k))
+    return read_ldjson(spark, out, ORDER_TYPE)
+
+
+@workload("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, true AS named FROM orders")
+def direct_exact_names_orders(spark, sf_dir):
+    """Files that tasks write under names with format and codec: json arrays, two runs, no moves."""
+    out = scratch_folder(spark, "direct")
+    options = WriteOptions(out, "json", id="orders", naming="direct", compression="gzip", records_per_file=1000)
+    for _ in range(2):
+        Sender(options).send(orders(spark, sf_dir))
+    back = read_json(spark, out, ORDER_TYPE, compression="gzip", with_source=True)
+    return back.select(*ORDER_COLUMNS, F.col("source.path").rlike(r"/orders\.\d+\.json\.gz$").alias("named"))
+
+
+@workload("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderstatus AS folder FROM orders")
+def direct_routes_orders(spark, sf_dir):
+    """Plain route folders without a move, lz4 frames in them."""
+    out = scratch_folder(spark, "direct")
+    export_routed(orders(spark, sf_dir).withColumn("to", F.col("o_orderstatus")), out, "ldjson", "to", naming="direct", layout="plain", compression="lz4")
+    back = read_ldjson(spark, out, ORDER_TYPE, compression="lz4", with_source=True)
+    return back.select(*ORDER_COLUMNS, folder_name(F.col("source.path")).alias("folder"))
+
+
 @workload(ORDER_SQL)
 def direct_rerun_orders(spark, sf_dir):
     """Under Spark's own names, an export that replaces leaves its rows once."""

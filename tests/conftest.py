@@ -39,7 +39,8 @@ def text_of():
         return {
             str(p.relative_to(path)): p.read_bytes().decode("utf-8", "surrogateescape")
             for p in sorted(pathlib.Path(path).rglob("*"))
-            if p.is_file() and not p.name.endswith(".crc")
+            # folders with a dot in front are not data
+            if p.is_file() and not p.name.endswith(".crc") and not any(x.startswith(".") for x in p.relative_to(path).parts[:-1])
         }
 
     return read

@@ -91,7 +91,8 @@ def test_writer_checks():
     with pytest.raises(OptionError):
         WriteOptions(path="/x", format="csv", dynamic_routing=True)
     with pytest.raises(OptionError):
-        WriteOptions(path="s3a://b/x", format="csv", dynamic_routing=True, route_col="r", layout="plain")
+        WriteOptions(path="/x", format="csv", job=4)
+    assert WriteOptions(path="s3a://b/x", format="csv", dynamic_routing=True, route_col="r", layout="plain").layout_mode == "plain"
 
 
 def test_old_routing_setting():
