@@ -795,6 +795,17 @@ def inventory_all_events(spark, sf_dir):
     return inventory_summary(objects).select("prefix", "readable", "bytes")
 
 
+@workload("SELECT count(*) AS files, sum(strlen(props) + 1)::BIGINT AS bytes, true AS in_tasks FROM events")
+def inventory_many_files(spark, sf_dir):
+    """As many files as there are events, most of them in one folder, the others deep below; many tasks look at them."""
+    out = scratch_folder(spark, "inventory")
+    df = table(spark, sf_dir, "events").select(F.col("props").alias("data"), F.when(F.col("event_id") % 10 == 0, "a/b/c/d").otherwise("flat").alias("to"))
+    export_routed(df, out, "raw", "to", naming="direct", layout="plain", records_per_file=1, gather_routes=False)
+    found = file_inventory(spark, out)
+    task = found.select("size", F.spark_partition_id().alias("task"))
+    return task.agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), (F.countDistinct("task") > 1).alias("in_tasks"))
+
+
 # --- whole tables, all columns -----------------------------------------------------------
 
 

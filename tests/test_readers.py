@@ -408,3 +408,19 @@ def test_inventory(spark, folder):
     objects = every.select(F.concat(F.lit("bucket/"), "key").alias("object"), "size", "readable")
     summary = {(r.bucket, r.prefix): (r.files, r.bytes) for r in inventory_summary(objects).collect()}
     assert summary == {("bucket", ""): (4, 12), ("bucket", "d/"): (2, 6)}
+
+
+def test_inventory_in_rounds(spark, folder, monkeypatch):
+    monkeypatch.setattr("millrace.sources.inventory._LOOKED_AT", 100)
+    monkeypatch.setattr("millrace.sources.inventory._ROWS", 64)
+    want = {}
+    for i in range(700):
+        name = ("flat/" if i < 400 else "/".join(str(i % 7) * (i % 5 + 1)) + "/") + f"{'_' if i % 11 == 0 else ''}f{i}"
+        put(folder, name, "x" * (i % 4))
+        want[name] = i % 4
+    (folder / "empty" / "deep").mkdir(parents=True)
+    found = file_inventory(spark, str(folder))
+    assert {r.key: r["size"] for r in found.collect()} == want and found.rdd.getNumPartitions() == 7
+    with pytest.raises(SourceError):
+        file_inventory(spark, str(folder / "none"))
+    assert file_inventory(spark, str(folder / "empty")).count() == 0
