@@ -15,6 +15,8 @@ from millrace.llm.common import discard, stored
 #: Bytes of the scores that travel to the workers: those of the most frequent words of all training text, as
 #: many as fit.  Rarer words are scored by joins with the whole tables.
 MAX_BYTES = 16 << 20
+#: Bytes of the scores of the n-grams of one length up to which these are sent to the words.
+MAX_BROADCAST = 32 << 20
 #: Longest n-gram tried for an unseen word; then one shorter, and so on.
 LONGEST = 4
 #: Added to every count.
@@ -117,7 +119,9 @@ def further_scores(counts: Counts, words: DataFrame) -> DataFrame:
         pieces = left.select("word", F.explode(_grams_of("framed", range(n, n + 1))).alias("gram"))
         grams = _by_language(counts, "gram", counts.grams.where(F.length("gram") == n))
         grams = stored(grams.select("gram", *[log(i, counts.gram_sizes[n][i], counts.gram_different[n]).alias(f"s{i}") for i in every]), "gram_scores")
-        met = pieces.join(grams, "gram").groupBy("word").agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in every])
+        # a small table goes to the words, and their n-grams stay where they are; beyond that both are shuffled
+        few = counts.gram_different[n] * (8 * len(counts.langs) + 32) <= MAX_BROADCAST
+        met = pieces.join(F.broadcast(grams) if few else grams, "gram").groupBy("word").agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in every])
         found = found.unionByName(met := stored(met, "met"))
         left, before = stored(left.join(met, "word", "left_anti"), "unseen"), left
         discard(grams, before)

@@ -63,6 +63,7 @@ def plain(rows, folds=1, held=5):
 @pytest.mark.parametrize("most", [16 << 20, 150])
 def test_predictions_equal_a_plain_scorer(spark, monkeypatch, most):
     monkeypatch.setattr(langid, "MAX_BYTES", most)
+    monkeypatch.setattr(langid, "MAX_BROADCAST", most)
     rng = random.Random(3)
     bank = {"en": "the cat sat on a mat with that hat", "fr": "le chat est sur la table avec ce chapeau", "de": "die katze sitzt dort auf dem tisch ä"}
     rows = [(i, " ".join(rng.choices(bank[x].split(), k=rng.randint(1, 9))), x) for i, x in enumerate(["en", "fr", "de"] * 8)]
