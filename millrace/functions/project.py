@@ -10,21 +10,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.functions.text import json_number
+
 
 def column(name: str) -> Column:
     """A top-level column by its exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _has_float(kind: T.DataType) -> bool:
+def has_float(kind: T.DataType) -> bool:
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return True
     if isinstance(kind, T.ArrayType):
-        return _has_float(kind.elementType)
+        return has_float(kind.elementType)
     if isinstance(kind, T.MapType):
-        return _has_float(kind.valueType)
+        return has_float(kind.valueType)
     if isinstance(kind, T.StructType):
-        return any(_has_float(f.dataType) for f in kind)
+        return any(has_float(f.dataType) for f in kind)
     return False
 
 
@@ -32,22 +34,26 @@ def _ordered(names: Sequence[str], fields: Sequence[str]) -> list[str]:
     return [name for name in fields if name in names] if fields else list(names)
 
 
-def json_value(value: Column, kind: T.DataType, fields: Sequence[str]) -> Column:
-    """``value`` as json can show it: keys filtered, NaN and infinities as null."""
+def json_value(value: Column, kind: T.DataType, fields: Sequence[str], mark: str | None = None) -> Column:
+    """``value`` as json can show it: keys filtered, NaN and infinities as null.
+
+    With ``mark``, other floats are their text between two of these; see ``render.to_json``.
+    """
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         infinite = F.abs(value) == F.lit(float("inf"))
-        return F.when(~(F.isnan(value) | infinite), value)
-    if not fields and not _has_float(kind):
+        shown = value if mark is None else F.concat(F.lit(mark), json_number(value), F.lit(mark))
+        return F.when(~(F.isnan(value) | infinite), shown)
+    if not fields and not has_float(kind):
         return value
     if isinstance(kind, T.StructType):
         kept = [
-            json_value(value.getField(name), kind[name].dataType, fields).alias(name)
+            json_value(value.getField(name), kind[name].dataType, fields, mark).alias(name)
             for name in _ordered(kind.names, fields)
         ]
         return F.when(value.isNotNull(), F.struct(*kept))
     if isinstance(kind, T.ArrayType):
-        if isinstance(kind.elementType, (T.StructType, T.ArrayType, T.MapType)) or _has_float(kind):
-            return F.transform(value, lambda item: json_value(item, kind.elementType, fields))
+        if isinstance(kind.elementType, (T.StructType, T.ArrayType, T.MapType)) or has_float(kind):
+            return F.transform(value, lambda item: json_value(item, kind.elementType, fields, mark))
         return value
     if isinstance(kind, T.MapType):
         if fields and isinstance(kind.keyType, T.StringType):
@@ -59,15 +65,15 @@ def json_value(value: Column, kind: T.DataType, fields: Sequence[str]) -> Column
                 value.isNotNull(),
                 F.map_from_arrays(keys, F.transform(keys, lambda key: F.element_at(value, key))),
             )
-        return F.transform_values(value, lambda _, item: json_value(item, kind.valueType, fields))
+        return F.transform_values(value, lambda _, item: json_value(item, kind.valueType, fields, mark))
     if isinstance(kind, T.VariantType) and fields:
         raise TypeError("an allow-list cannot be applied inside a VARIANT; extract the fields first")
     return value
 
 
-def json_columns(df: DataFrame, fields: Sequence[str] = ()) -> list[Column]:
+def json_columns(df: DataFrame, fields: Sequence[str] = (), mark: str | None = None) -> list[Column]:
     return [
-        json_value(column(name), df.schema[name].dataType, fields).alias(name)
+        json_value(column(name), df.schema[name].dataType, fields, mark).alias(name)
         for name in _ordered(df.columns, dict.fromkeys(fields))
     ]
 

@@ -40,6 +40,12 @@ def plain_number(value: Column) -> Column:
     )
 
 
+def json_number(value: Column) -> Column:
+    """``plain_number``, but whole numbers may keep their ``.0``; most values are only cast."""
+    size = F.abs(value)
+    return F.when((size >= 1e-3) & (size < 1e7), value.cast("string")).otherwise(plain_number(value))
+
+
 # the shortest digits of a double need at most 17 + 6 places after the point here
 _PLAIN = "0." + "#" * 23
 

@@ -44,7 +44,7 @@ def render(df: DataFrame, options: WriteOptions) -> DataFrame:
         return render_csv(df, options.fields, options.separator, forbid=forbid, keep=keep)
     if options.format == "raw":
         return render_raw(df, keep=keep)
-    return render_ldjson(df, options.fields, options.keep_nulls, keep=keep)
+    return render_ldjson(df, options.fields, options.keep_nulls, keep, options.plain_numbers)
 
 
 def render_json(
@@ -53,9 +53,10 @@ def render_json(
     records_per_file: int | None = None,
     keep_nulls: bool = False,
     bytes_per_file: int = 64 * 1024 * 1024,
+    plain_numbers: bool = False,
 ) -> DataFrame:
     """One row per output file: a json array of up to ``records_per_file`` records."""
-    lines = df.select(json_text(df, fields, keep_nulls).alias("value"))
+    lines = df.select(json_text(df, fields, keep_nulls, plain_numbers).alias("value"))
     return pack_files(
         lines,
         array=True,

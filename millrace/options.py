@@ -171,6 +171,9 @@ class WriteOptions:
     include_header: bool = False
     extension: str | None = None
     keep_nulls: bool = False
+    #: True writes floats in json as the shortest text that reads back (``42``, ``1e+21``), False as Spark does
+    #: (``42.0``, ``1.0E21``), which is the same number and takes a third of the time
+    plain_numbers: bool = False
     #: "keep" writes a line delimiter inside a csv cell as it is, "throw" refuses it
     line_breaks: str = "keep"
     dynamic_routing: bool = False
@@ -219,6 +222,7 @@ class WriteOptions:
             "file_per_slice",
             "include_header",
             "keep_nulls",
+            "plain_numbers",
             "dynamic_routing",
             "gather_routes",
             "replace",

@@ -211,6 +211,26 @@ def ldjson_delimiter_conversations(spark, sf_dir):
     return read_ldjson(spark, out, schema, "\r\n\f").select("conv_id", "turn", "role", "text")
 
 
+def _shortest(column: str) -> str:
+    return f"regexp_replace(CAST({column} AS VARCHAR), '\\.0$', '')"
+
+
+@workload(
+    f"""SELECT '{{"l_orderkey":' || l_orderkey || ',"l_partkey":' || l_partkey || ',"l_suppkey":' || l_suppkey
+              || ',"l_linenumber":' || l_linenumber || ',"l_quantity":' || {_shortest("l_quantity")}
+              || ',"l_extendedprice":' || {_shortest("l_extendedprice")} || ',"l_discount":' || {_shortest("l_discount")}
+              || ',"l_tax":' || {_shortest("l_tax")} || ',"l_returnflag":"' || l_returnflag || '","l_linestatus":"' || l_linestatus
+              || '","l_shipdate":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') || '"}}' AS data
+       FROM lineitem"""
+)
+def ldjson_numbers_lineitem(spark, sf_dir):
+    """All columns as text: numbers without a superfluous point or exponent, read back as raw lines."""
+    out = scratch_folder(spark, "numbers")
+    df = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+    export(df, out, "ldjson", plain_numbers=True)
+    return read_raw(spark, out)
+
+
 # --- json files ------------------------------------------------------------------------
 
 

@@ -181,3 +181,24 @@ def test_variant_records(spark):
         render_csv(df)
     with pytest.raises(TypeError):
         render_ldjson(df, ["record"])
+
+
+def test_plain_numbers_in_json(spark):
+    kinds = "id int, d double, f float, nested array<map<string,double>>, s struct<x:double,t:string>, text string"
+    rows = [
+        (1, 42.0, 0.5, [{"a": 0.1, "b": -0.0}], (1e21, '"<1.0>"'), "1.0"),
+        (2, -1.5e-7, 3.0, [{"a": 1e10}], (123456789.25, None), ".0"),
+        (3, None, float("nan"), [None, {"a": float("inf")}], None, None),
+        (4, 0.001, 1e7, [], (0.0009, "x"), "42.0,"),
+    ]
+    df = spark.createDataFrame(rows, kinds)
+    want = [
+        r'{"id":1,"d":42,"f":0.5,"nested":[{"a":0.1,"b":0}],"s":{"x":1e+21,"t":"\"<1.0>\""},"text":"1.0"}',
+        '{"id":2,"d":-1.5e-7,"f":3,"nested":[{"a":10000000000}],"s":{"x":123456789.25},"text":".0"}',
+        '{"id":3,"nested":[null,{"a":null}]}',
+        '{"id":4,"d":0.001,"f":10000000,"nested":[],"s":{"x":0.0009,"t":"x"},"text":"42.0,"}',
+    ]
+    got = [r.value for r in render_ldjson(df, plain_numbers=True).orderBy(F.get_json_object("value", "$.id")).collect()]
+    assert [json.loads(x) for x in got] == [json.loads(x) for x in want] and [g.replace('{"a":null}', "{}") for g in got] == [w.replace('{"a":null}', "{}") for w in want]
+    few = render_ldjson(df, ["d", "s", "x"], plain_numbers=True).first().value
+    assert few == '{"d":42,"s":{"x":1e+21}}'
