@@ -341,3 +341,30 @@ def parse_csv_lines(
         ]
     )
     return lines.select("value", "source", record.alias("record"), ok.alias("ok"))
+
+
+def csv_reason(text: Column, fields: Sequence[str], separator: str, extra_args: Mapping[str, object] | None = None) -> Column:
+    """The first rule that a refused csv line breaks."""
+    given = {_CSV_ALIASES.get(k, k): str(v) for k, v in (extra_args or {}).items()}
+    sep, quote, escape = given.get("sep", separator), given.get("quote", '"'), given.get("escape", '"')
+    cells = _cells_of(text, sep, quote, escape, ignore_empty=False)
+    return (
+        F.when(_unclosed_quote(text, sep, quote, escape), "open quote")
+        .when(F.regexp_replace(text, f"(?:{_literal(sep)}|\\s)+", "") == "", "no value")
+        .when(cells > len(fields), "more cells than fields")
+        .when(cells < len(fields), "fewer cells than fields")
+        .otherwise("no value")
+    )
+
+
+def json_reason(text: Column) -> Column:
+    """The first rule that a refused json text breaks; of one that breaks none, its values have another type."""
+    value, whole = F.try_parse_json(text), F.try_parse_json(_envelope(text))
+    one = F.try_variant_get(whole, "$._end", "int").isNotNull() & F.try_variant_get(whole, "$._record[1]", "variant").isNull()
+    return (
+        F.when(F.trim(F.coalesce(text, F.lit(""))) == "", "blank")
+        .when(value.isNull(), "syntax")
+        .when(~F.coalesce(one, F.lit(False)), "text after the record")
+        .when(~F.schema_of_variant(value).startswith("OBJECT<"), "no object")
+        .otherwise("type")
+    )

@@ -12,6 +12,16 @@ from millrace.functions.project import column
 log = logging.getLogger("millrace")
 
 
+#: Bad records that the log shows, and characters of each.
+SHOWN, SHOWN_CHARS = 10, 500
+
+
+def _shown_records() -> list[Column]:
+    """A few bad records: the smallest of those that share a remainder of their hash, so any tasks may add up."""
+    share = F.pmod(F.xxhash64("value"), F.lit(SHOWN))
+    return [F.min(F.when(~F.col("ok") & (share == k), F.left("value", F.lit(SHOWN_CHARS)))).alias(f"shown{k}") for k in range(SHOWN)]
+
+
 def _report(observation: Observation, path: str) -> None:
     def wait() -> None:
         try:
@@ -19,7 +29,8 @@ def _report(observation: Observation, path: str) -> None:
         except Exception:  # the session ended before the frame was used
             return
         if seen.get("rejected"):
-            log.error("%d bad records of %d under %s", seen["rejected"], seen["read"], path)
+            shown = [seen[f"shown{k}"] for k in range(SHOWN) if seen[f"shown{k}"] is not None]
+            log.error("%d bad records of %d under %s, among them: %s", seen["rejected"], seen["read"], path, " | ".join(shown))
 
     threading.Thread(target=wait, daemon=True, name="millrace-rejects").start()
 
@@ -64,17 +75,18 @@ def apply_policy(
             parsed = parsed.observe(observation, *counts)
         else:
             observation = Observation()
-            parsed = parsed.observe(observation, *counts)
+            parsed = parsed.observe(observation, *counts, *_shown_records())
             _report(observation, path)
         kept = parsed.where("ok")
     return kept.select(*columns)
 
 
-def split_rejects(parsed: DataFrame, source: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Good records, and the raw text plus origin of the bad ones."""
+def split_rejects(parsed: DataFrame, source: str | None = None, reason: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Good records, and raw text, origin and (if it is told) ``reason`` of the bad ones."""
     good = parsed.where("ok").select(*record_columns(parsed, source))
-    bad = parsed.where("NOT ok").select(F.col("value").alias("record"), F.col("source.path").alias("path"))
-    return good, bad
+    bad = parsed.where("NOT ok")
+    told = [] if reason is None else [reason.alias("reason")]
+    return good, bad.select(F.col("value").alias("record"), F.col("source.path").alias("path"), *told)
 
 
 def mark_rejects(parsed: DataFrame, source: str | None = None) -> DataFrame:

@@ -6,14 +6,14 @@ import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from millrace.functions.project import column
 from millrace.options import OptionError, ReadOptions
 from millrace.session import adopt, sized_session
 from millrace.sources.check import refuse_streamed, stream_roots, streamed_roots
 from millrace.sources.lines import read_lines, source_struct
-from millrace.sources.parse import parse_csv_lines, parse_json_documents, parse_json_lines
+from millrace.sources.parse import csv_reason, json_reason, parse_csv_lines, parse_json_documents, parse_json_lines
 from millrace.sources.policy import apply_policy, mark_rejects, record_columns, source_name, split_rejects
 
 Schema = T.StructType | str | None
@@ -137,7 +137,8 @@ def read(
     """Records below ``options.path`` as a frame.
 
     ``rejects=True`` gives ``(good, bad)`` instead, ``rejects="column"`` one frame with a
-    ``rejected`` column; both replace ``on_reject``.  ``observation`` receives the counts
+    ``rejected`` column; both replace ``on_reject``.  With ``rejects="reasons"`` the bad
+    records also have the ``reason``: the first rule that they break.  ``observation`` receives the counts
     ``read`` and ``rejected`` when ``on_reject`` is ``log``.
     """
     source = source_name(with_source)
@@ -147,12 +148,13 @@ def read(
         if schema is None or schema == "variant":
             raise OptionError("strict=False needs a schema")
         return _select(_native_json(spark, options, schema, source), options, source)
-    needed = source is not None or rejects is True
+    reasons = rejects == "reasons"
+    needed = source is not None or rejects is True or reasons
     parsed = parsed_lines(spark, options, schema, sampling_ratio=sampling_ratio, source=needed, exact_text=bool(rejects))
     if rejects == "column":
         return mark_rejects(parsed, source)
     if rejects:
-        good, bad = split_rejects(parsed, source)
+        good, bad = split_rejects(parsed, source, _reason(options) if reasons else None)
         return _select(good, options, source), bad
     path = options.path if isinstance(options.path, str) else ", ".join(options.path)
     if options.format == "raw":
@@ -161,6 +163,13 @@ def read(
     return _select(kept, options, source)
 
 
+def _reason(options: ReadOptions) -> Column:
+    text = F.col("value")
+    if options.format in ("json", "ldjson"):
+        return json_reason(text)
+    return csv_reason(text, options.fields, options.separator, options.extra_args)
+
+
 def _select(df: DataFrame, options: ReadOptions, source: str | None) -> DataFrame:
     """json readers may name the top-level fields they want; others are not parsed, and not scanned with ``strict=False``."""
     if options.format not in ("json", "ldjson") or not options.fields:

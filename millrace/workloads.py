@@ -960,6 +960,27 @@ def inventory_start_after(spark, sf_dir):
     return listed.select(F.substring_index("key", "/", 1).alias("folder")).distinct()
 
 
+# --- reasons ----------------------------------------------------------------------------
+
+
+@workload(
+    """SELECT CASE o_orderkey % 7 WHEN 0 THEN 'syntax' WHEN 1 THEN 'text after the record' WHEN 2 THEN 'type'
+                   WHEN 3 THEN 'no object' WHEN 4 THEN 'blank' END AS reason,
+              count(*) AS records, sum(CASE WHEN o_orderkey % 7 = 4 THEN 0 ELSE o_orderkey END)::BIGINT AS keys
+       FROM orders WHERE o_orderkey % 7 < 5 GROUP BY 1"""
+)
+def reject_reasons(spark, sf_dir):
+    """Five of seven records are broken, each kind by a rule of its own."""
+    out = scratch_folder(spark, "reasons")
+    shape = """CASE o_orderkey % 7 WHEN 0 THEN concat('{"k":', o_orderkey, ',}') WHEN 1 THEN concat('{"k":', o_orderkey, '} x')
+               WHEN 2 THEN concat('{"k":"no ', o_orderkey, '"}') WHEN 3 THEN concat('[', o_orderkey, ']') WHEN 4 THEN ''
+               ELSE concat('{"k":', o_orderkey, '}') END"""
+    export(table(spark, sf_dir, "orders").select(F.expr(shape).alias("data")), out, "raw")
+    _, bad = read_ldjson(spark, out, "k bigint", rejects="reasons")
+    keys = F.coalesce(F.try_to_number(F.regexp_extract("record", "[0-9]+", 0), F.lit("999999999999")), F.lit(0))
+    return bad.groupBy("reason").agg(F.count("*").alias("records"), F.sum(keys).cast("bigint").alias("keys"))
+
+
 # --- names that say nothing -------------------------------------------------------------
 
 

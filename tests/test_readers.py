@@ -424,3 +424,27 @@ def test_inventory_in_rounds(spark, folder, monkeypatch):
     with pytest.raises(SourceError):
         file_inventory(spark, str(folder / "none"))
     assert file_inventory(spark, str(folder / "empty")).count() == 0
+
+
+def test_reasons_of_rejects(spark, folder):
+    put(folder, "l/x", '{"a":1}\n{"a":}\n\n{"a":2} tail\n[1]\n{"a":"no"}\nNaN\n"s"\n')
+    good, bad = read_ldjson(spark, str(folder / "l"), "a int", rejects="reasons")
+    assert good.count() == 1 and bad.columns == ["record", "path", "reason"]
+    assert {r.record: r.reason for r in bad.collect()} == {
+        '{"a":}': "syntax", "": "blank", '{"a":2} tail': "text after the record", "[1]": "no object", '{"a":"no"}': "type", "NaN": "syntax", '"s"': "no object"
+    }
+    put(folder, "c/x", 'a,b\n1,2\n,\n"1,2\n1,2,3\n1\n')
+    _, bad = read_csv(spark, str(folder / "c"), ["a", "b"], rejects="reasons", check_width=True)
+    assert {r.record: r.reason for r in bad.collect()} == {",": "no value", '"1,2': "open quote", "1,2,3": "more cells than fields", "1": "fewer cells than fields"}
+
+
+def test_log_shows_bad_records(spark, folder, caplog):
+    path = put(folder, "x", "".join(f'{{"a":{i}}}\nbroken {i} {"y" * 900}\n' for i in range(300)))
+    with caplog.at_level("ERROR", logger="millrace"):
+        assert read_ldjson(spark, path, "a int", on_reject="log").count() == 300
+        for _ in range(50):
+            if caplog.records:
+                break
+            time.sleep(0.1)
+    text = caplog.text
+    assert "300 bad records of 600" in text and 5 <= text.count("broken ") <= 10 and len(text) < 6000
