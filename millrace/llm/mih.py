@@ -8,6 +8,8 @@ Probing the substring indexes that far finds every code within the radius.  Thos
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
-from millrace.llm.vectors import common_size, cosines, matrix, unit, usable
+from millrace.llm.vectors import cosines, matrix, unit, usable
 
 #: Bits of a code and of a substring.
 BITS, PART = 256, 16
@@ -138,31 +140,53 @@ def _search(rows: DataFrame, asked: DataFrame, turned: np.ndarray, radius: int,
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double")
 
 
-def search(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest by cosine of each row whose vec_id divides by ``every``.
+def _of_size(rows: DataFrame, size: int, every: int, k: int) -> DataFrame:
+    """Stored (query_id, vec_id, score): the k nearest ids of each query among ``rows`` (vec_id, vector) of one length.
 
-    Candidates are all rows with another vec_id.  Rows without vec_id, and vectors that are null, zero, not
-    finite or not of the usual length take no part.  Of rows that share a vec_id the smallest vector counts.
-    A query with fewer than k found within the radius is asked again with all bits.  Equal scores go by vec_id.
+    A query with fewer than k found within the radius is asked again with all bits.
     """
-    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
-    rows = rows.where("vec_id is not null").where(usable())
-    size = common_size(rows)
-    rows = stored(rows.where(F.size("vector") == size).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    rows = stored(rows.where(F.size("vector") == size).distinct(), "vectors")
     asked = rows.where(F.col("vec_id") % every == 0)
     n_rows, n_asked = rows.count(), asked.count()
-    picked = rows.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select("vector").toArrow()
-    turned, radius = learned(unit(matrix(picked.column("vector"))) if len(picked) else np.empty((0, max(size, 1))), k)
+    counts = rows.groupBy("vec_id").count().agg(F.count("*").alias("ids"), F.max("count").alias("most")).first()
+    picked = rows.orderBy(F.xxhash64("vec_id"), "vector").limit(SAMPLE).select("vector").toArrow()
+    # so many vectors hold k ids, however many of them are of one id
+    enough = k * counts.most
+    turned, radius = learned(unit(matrix(picked.column("vector"))), enough)
 
     def ranked(found: DataFrame) -> DataFrame:
         order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        if counts.most > 1:
+            found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    near = stored(ranked(_search(rows, asked, turned, radius, k, n_rows, n_asked)), "nearest")
-    full = near.groupBy("query_id").count().where(F.col("count") >= min(k, n_rows - 1)).select("query_id")
+    near = stored(ranked(_search(rows, asked, turned, radius, enough, n_rows, n_asked)), "nearest")
+    full = near.groupBy("query_id").count().where(F.col("count") >= min(k, counts.ids - 1)).select("query_id")
     short = stored(asked.join(full, asked.vec_id == full.query_id, "left_anti"), "short")
     n_short = short.count()
     if n_short:
-        again = ranked(_search(rows, short, turned, BITS, k, n_rows, n_short))
+        again = ranked(_search(rows, short, turned, BITS, enough, n_rows, n_short))
         near = near.join(full, "query_id", "left_semi").unionByName(again)
     return near.select("query_id", "rank", "vec_id", "score")
+
+
+def search(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest by cosine of each row whose vec_id divides by ``every``.
+
+    Candidates are all rows with another vec_id.  Rows without vec_id, and vectors that are null, zero or not
+    finite take no part.  Vectors of each length are searched on their own, since no cosine joins two lengths.
+    Rows that share a vec_id are one item with all its different vectors: the score of two items is that of
+    their nearest pair, and an item is listed once.  Equal scores go by vec_id.  An empty table gives no rows.
+    """
+    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
+    rows = rows.where("vec_id is not null").where(usable())
+    sizes = sorted(r["size"] for r in rows.select(F.size("vector").alias("size")).distinct().collect())
+    if not sizes:
+        return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = [_of_size(rows, size, every, k) for size in sizes]
+    if len(found) == 1:
+        return found[0]
+    best = reduce(DataFrame.unionByName, found).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", "score")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,12 +13,6 @@ def usable(column: str = "vector") -> F.Column:
     return F.coalesce(~odd & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
-def common_size(frame: DataFrame) -> int:
-    """The most frequent length of ``vector``, the larger of equally frequent ones; 0 for no rows."""
-    sizes = frame.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size"))
-    return next((r["size"] for r in sizes.take(1)), 0)
-
-
 def matrix(column) -> np.ndarray:
     """A list column of equally long vectors as rows of doubles."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -64,6 +64,23 @@ def test_search_of_odd_rows(spark):
     assert mih.search(frame(spark, rows[:1])).collect() == []
 
 
+def test_search_drops_no_vector(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4).tolist(), 1) for i in range(100)] + [(i, rng.normal(size=3).tolist(), 1) for i in range(100, 160)]
+    rows += [(i, rng.normal(size=4).tolist(), 1) for i in (0, 7, 7, 50, 100, 100)] + [rows[3]] * 4
+    best = collections.defaultdict(lambda: -2.0)
+    for i, v, _ in rows:
+        for j, w, _ in rows:
+            if i % 50 == 0 and i != j and len(v) == len(w):
+                a, b = np.array(v, np.float32).astype(float), np.array(w, np.float32).astype(float)
+                best[i, j] = max(best[i, j], a @ b / np.sqrt(a @ a) / np.sqrt(b @ b))
+    want = []
+    for q in (0, 50, 100, 150):
+        near = sorted((-s, j) for (i, j), s in best.items() if i == q)[:5]
+        want += [(q, k + 1, j, pytest.approx(-s)) for k, (s, j) in enumerate(near)]
+    assert [tuple(r) for r in mih.search(frame(spark, rows)).orderBy("query_id", "rank").collect()] == want
+
+
 def plain_links(rows, least=0.93):
     ok = [v is not None and k is not None and None not in v and all(map(math.isfinite, v)) and any(v) for _, v, k in rows]
     place = np.flatnonzero(ok)
