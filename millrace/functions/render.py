@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.project import column, has_float, json_columns, project_fields
@@ -22,6 +24,27 @@ def _between_quotes(text: Column) -> Column:
     return F.concat(F.lit('"'), text, F.lit('"'))
 
 
+def _listed(fields: tuple[str, ...]):
+    """A function that keeps, at every depth of a json text, the named keys, in their order.
+
+    The shape of a VARIANT record is known record by record only, so each is taken apart by itself.
+    """
+
+    def kept(value):
+        if isinstance(value, dict):
+            return {name: kept(value[name]) for name in fields if name in value}
+        if isinstance(value, list):
+            return [kept(item) for item in value]
+        return int(value) if isinstance(value, float) and value.is_integer() and abs(value) < 1e21 else value
+
+    def render(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
+        for some in texts:
+            yield some.map(lambda text: None if text is None else encode(kept(json.loads(text))))
+
+    return F.pandas_udf(render, "string")
+
+
 def new_mark() -> str:
     """Text that no record holds: it is drawn anew for each rendering."""
     return f"<{uuid.uuid4().hex}>"
@@ -92,8 +115,9 @@ def json_text(df: DataFrame, fields: Sequence[str] = (), keep_nulls: bool = Fals
     With ``plain_numbers`` floats of columns, at any depth, are shortest text; those inside a VARIANT are not.
     """
     record = whole_record(df)
-    if record is not None and not fields:
-        return F.to_json(column(record))
+    if record is not None:
+        text = F.to_json(column(record))
+        return _listed(tuple(dict.fromkeys(fields)))(text) if fields else text
     mark = new_mark() if plain_numbers and has_float(df.schema) else None
     options = {**_JSON_TIMES, "ignoreNullFields": str(not keep_nulls).lower()}
     return to_json(F.struct(*json_columns(df, fields, mark)), options, mark)

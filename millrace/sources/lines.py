@@ -116,7 +116,7 @@ def read_lines(
     Without ``source`` that column is null, and the scan need not produce it.  ``streamed`` are the paths
     that hold files for the source of ``files.py``; a stream of these keeps its ``log`` in a folder.
     """
-    session = spark if size is None or streaming else sized_session(spark, size)
+    session = spark if size is None else sized_session(spark, size)
     limits = dict(limits or {})
 
     def reader(**more):

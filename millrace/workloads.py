@@ -64,6 +64,7 @@ ORDER_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM o
 EVENT_TYPE = "event_id bigint, user_id bigint, event_type string, props string"
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "props"]
 EVENT_SQL = "SELECT event_id, user_id, event_type, props FROM events"
+FULL_EVENT_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -960,6 +961,35 @@ def inventory_start_after(spark, sf_dir):
     return listed.select(F.substring_index("key", "/", 1).alias("folder")).distinct()
 
 
+# --- records of unknown shape -------------------------------------------------------------
+
+
+@workload(
+    """SELECT '{"props":{"k":' || CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) || '},"event_id":' || event_id
+              || CASE WHEN event_id % 2 = 0 THEN ',"tags":[{"k":' || event_id % 5 || '},' || event_id % 3 || ']' ELSE '' END || '}' AS data
+       FROM events"""
+)
+def variant_fields_events(spark, sf_dir):
+    """An allow-list on records whose shapes differ: it holds at every depth, in its own order."""
+    first, second = scratch_folder(spark, "variant"), scratch_folder(spark, "variant")
+    shape = """concat('{"event_id":', event_id, ',"user":{"user_id":', user_id, '},"props":', props,
+               IF(event_id % 2 = 0, concat(',"tags":[{"x":"no","k":', event_id % 5, '},', event_id % 3, ']'), ''), '}')"""
+    export(table(spark, sf_dir, "events").select(F.expr(shape).alias("data")), first, "raw")
+    export(read_ldjson(spark, first, "variant"), second, "ldjson", fields=["props", "k", "event_id", "tags", "absent", "k"])
+    return read_raw(spark, second)
+
+
+@workload(FULL_EVENT_SQL)
+def stream_sized_events(spark, sf_dir):
+    """One file, read by many tasks of a micro-batch."""
+    source, marks, out = (scratch_folder(spark, n) for n in ("source", "marks", "out"))
+    df = table(spark, sf_dir, "events")
+    export(df, source, "ldjson", files=1)
+    stream = read_stream(spark, ReadOptions(source, "ldjson", size=32 * 1024), df.schema)
+    export_stream(stream, WriteOptions(out, "ldjson"), marks).awaitTermination()
+    return read_ldjson(spark, out, df.schema)
+
+
 # --- reasons ----------------------------------------------------------------------------
 
 
@@ -984,9 +1014,6 @@ def reject_reasons(spark, sf_dir):
 # --- names that say nothing -------------------------------------------------------------
 
 
-FULL_EVENT_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
-
-
 @workload(FULL_EVENT_SQL)
 def underscore_names_events(spark, sf_dir):
     """Half of the events in files and folders whose names begin with an underscore."""

@@ -202,3 +202,10 @@ def test_plain_numbers_in_json(spark):
     assert [json.loads(x) for x in got] == [json.loads(x) for x in want] and [g.replace('{"a":null}', "{}") for g in got] == [w.replace('{"a":null}', "{}") for w in want]
     few = render_ldjson(df, ["d", "s", "x"], plain_numbers=True).first().value
     assert few == '{"d":42,"s":{"x":1e+21}}'
+
+
+def test_allow_list_in_records_of_unknown_shape(spark):
+    texts = ['{"b":{"a":1,"c":[{"a":2.0,"z":3},[{"z":1}],"x"]},"a":null,"z":0}', '{"z":1}', '{"c":"é\\"","a":1.5e-3,"b":[]}', '{"a":1e21,"b":12345678901234567890}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("r"))
+    got = [r.value for r in render_ldjson(df, ["a", "c", "b", "a", "no"]).collect()]
+    assert got == ['{"a":null,"b":{"a":1,"c":[{"a":2},[{}],"x"]}}', "{}", '{"a":0.0015,"c":"é\\"","b":[]}', '{"a":1e+21,"b":12345678901234567890}']

@@ -85,3 +85,27 @@ def test_stream_needs_a_schema_and_new_files(spark, folder):
         read_stream(spark, ReadOptions(path=str(folder), format="ldjson"))
     with pytest.raises(OptionError):
         export_stream(spark.range(1), WriteOptions(str(folder), "csv", file_per_slice=False), "/tmp/x")
+
+
+def test_size_changes_the_tasks_of_a_batch(spark, folder):
+    put = folder / "in" / "x.txt"
+    put.parent.mkdir()
+    put.write_text("".join(f"{i}\n" for i in range(100_000)))
+    seen = {}
+    for size in (None, 50_000):
+        rows = seen.setdefault(size, [])
+        df = read_stream(spark, ReadOptions(path=str(put.parent), format="raw", size=size))
+        query = df.writeStream.foreachBatch(lambda batch, _, rows=rows: rows.append((batch.rdd.getNumPartitions(), batch.count())))
+        finish(query.option("checkpointLocation", str(folder / f"marks{size}")).trigger(availableNow=True).start())
+    assert [n for _, n in seen[None]] == [n for _, n in seen[50_000]] == [100_000]
+    assert seen[None][0][0] < 8 < seen[50_000][0][0]
+
+
+def test_sized_stream_with_every_name(spark, folder):
+    (folder / "in").mkdir()
+    for name in ("a", "_b"):
+        (folder / "in" / name).write_text("".join(f'{{"id":{i}}}\n' for i in range(1000)))
+    options = ReadOptions(path=str(folder / "in"), format="ldjson", size=1000)
+    df = read_stream(spark, options, "id bigint", every_name=str(folder / "log"))
+    finish(export_stream(df, WriteOptions(str(folder / "out"), "ldjson"), str(folder / "marks")))
+    assert read_ldjson(spark, str(folder / "out"), "id bigint").groupBy().sum().first()[0] == 999 * 1000
