@@ -116,6 +116,8 @@ def json_text(df: DataFrame, fields: Sequence[str] = (), keep_nulls: bool = Fals
     """
     record = whole_record(df)
     if record is not None:
+        if set(fields) == {record}:
+            raise TypeError(f"{record!r} is the record itself: an allow-list names the keys in it")
         text = F.to_json(column(record))
         return _listed(tuple(dict.fromkeys(fields)))(text) if fields else text
     mark = new_mark() if plain_numbers and has_float(df.schema) else None
