@@ -42,12 +42,16 @@ def _frequent(counts: DataFrame, key: str, most: int) -> DataFrame:
     return counts.join(totals.where(F.col("total") >= least).select(key), key)
 
 
-def _table(counts: DataFrame, key: str, langs: list[str]) -> tuple[list[str], np.ndarray]:
-    rows = counts.select(key, "lang", "n").toPandas()
-    keys, at = np.unique(rows[key].to_numpy(str), return_inverse=True) if len(rows) else (np.array([], str), [])
-    table = np.zeros((len(keys), len(langs)))
-    np.add.at(table, (at, rows["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(int)), rows["n"].to_numpy(float))
-    return keys.tolist(), table
+def _table(counts: DataFrame, key: str, langs: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The different keys, and the count of each in every language; both stay in Arrow or numpy."""
+    rows = counts.select(key, "lang", "n").toArrow().combine_chunks()
+    if not len(rows):
+        return pa.array([], pa.string()), np.zeros((0, len(langs)))
+    coded = rows.column(key).chunk(0).dictionary_encode()
+    lang = pc.index_in(rows.column("lang").chunk(0), value_set=pa.array(langs, pa.string()))
+    table = np.zeros((len(coded.dictionary), len(langs)))
+    np.add.at(table, (coded.indices.to_numpy(), lang.to_numpy()), rows.column("n").chunk(0).to_numpy())
+    return coded.dictionary.cast(pa.string()), table
 
 
 class Counts(NamedTuple):
@@ -94,7 +98,7 @@ def frequent_words(counts: Counts) -> tuple[pa.Array, np.ndarray]:
     """The words that go to the driver and the workers, and the log frequencies of each in every language."""
     row = 8 * len(counts.langs) + 32
     keys, table = _table(_frequent(counts.words, "word", MAX_BYTES // row), "word", counts.langs)
-    return pa.array(keys, pa.string()), np.log((table + PRIOR) / (np.array(counts.sizes, float) + PRIOR * (counts.different + 1)))
+    return keys, np.log((table + PRIOR) / (np.array(counts.sizes, float) + PRIOR * (counts.different + 1)))
 
 
 def _by_language(counts: Counts, key: str, rows: DataFrame) -> DataFrame:
