@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from millrace.session import active
+from millrace.session import active, most_tasks
 from millrace.sources import names
 from millrace.sources.codecs import document_array, line_arrays
 from millrace.sources.names import LARGE, is_data, is_streamed
@@ -86,11 +86,13 @@ class Settings:
     whole: bool
     split: int
     large: int = LARGE
+    #: partitions, beyond which one takes more than ``split`` bytes
+    most: int = 1 << 62
 
     @classmethod
     def of(cls, options) -> "Settings":
         given = json.loads(options["settings"])
-        return cls(tuple(given["roots"]), given["compression"], given["delimiter"].encode(), given["whole"], given["split"] or SPLIT, given["large"])
+        return cls(tuple(given["roots"]), given["compression"], given["delimiter"].encode(), given["whole"], given["split"] or SPLIT, given["large"], given["most"])
 
     def wanted(self, found: Found) -> bool:
         return is_streamed(found.name, found.size, self.compression, self.whole, self.large)
@@ -110,16 +112,23 @@ class Settings:
         return name.endswith((".gz", ".lz4"))
 
     def planned(self, files: Iterable[tuple[str, Found]]) -> list[Pieces]:
-        """Ranges packed in listing order, a partition being full at ``split`` bytes."""
+        """Ranges packed in listing order, a partition being full at ``split`` bytes, or at an equal share."""
+        ranges = [(root, found.name, start, end, found.size) for root, found in files for start, end in self.cut(found)]
+        parts = self._packed(ranges, self.split + OPEN_COST)
+        if len(parts) > self.most:
+            parts = self._packed(ranges, -(-sum(end - start + OPEN_COST for _, _, start, end, _ in ranges) // self.most))
+        return parts
+
+    @staticmethod
+    def _packed(ranges: list[tuple[str, str, int, int, int]], full: int) -> list[Pieces]:
         parts, held, filled = [], [], 0
-        for root, found in files:
-            for start, end in self.cut(found):
-                cost = end - start + OPEN_COST
-                if held and filled + cost > self.split + OPEN_COST:
-                    parts.append(Pieces(tuple(held)))
-                    held, filled = [], 0
-                held.append((root, found.name, start, end, found.size))
-                filled += cost
+        for piece in ranges:
+            cost = piece[3] - piece[2] + OPEN_COST
+            if held and filled + cost > full:
+                parts.append(Pieces(tuple(held)))
+                held, filled = [], 0
+            held.append(piece)
+            filled += cost
         return parts + [Pieces(tuple(held))] * bool(held)
 
 
@@ -282,7 +291,7 @@ def streamed_lines(
     spark: SparkSession, roots: Iterable[str], *, compression: str, delimiter: str, whole: bool, size: int | None, log: str | None = None
 ) -> DataFrame:
     """``value, source`` of the files that ``is_streamed`` names; a stream if there is a folder for its ``log``."""
-    settings = json.dumps({"roots": list(roots), "compression": compression, "delimiter": delimiter, "whole": whole, "split": size, "large": names.LARGE})
+    settings = json.dumps({"roots": list(roots), "compression": compression, "delimiter": delimiter, "whole": whole, "split": size, "large": names.LARGE, "most": most_tasks(spark) if size else 1 << 62})
     with active(spark):
         # a session keeps what was registered first
         if not spark._jsparkSession.sessionState().dataSourceManager().dataSourceExists(FORMAT):

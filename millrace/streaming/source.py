@@ -24,7 +24,8 @@ def read_stream(
     """The records of ``read`` as a stream; the limits bound one micro-batch.
 
     With ``size`` the stream belongs to a sibling session with that split size: its queries are in the
-    ``streams`` of the frame's own session, and a micro-batch has as many tasks as the size asks for.
+    ``streams`` of the frame's own session, and a micro-batch has as many tasks as the size asks for, up to
+    ``session.TASKS_PER_CORE`` for each core; beyond that a task reads several pieces of that size.
 
     The checkpoint of the query remembers the files, so a restart goes on where it stopped.  Spark's own
     stream does not see names with an underscore, and decodes by name.  ``every_name`` is a folder for the

@@ -8,8 +8,10 @@ from millrace import (
     export,
     export_stream,
     read_ldjson,
+    read_raw,
     read_stream,
     send,
+    session,
 )
 
 
@@ -109,3 +111,24 @@ def test_sized_stream_with_every_name(spark, folder):
     df = read_stream(spark, options, "id bigint", every_name=str(folder / "log"))
     finish(export_stream(df, WriteOptions(str(folder / "out"), "ldjson"), str(folder / "marks")))
     assert read_ldjson(spark, str(folder / "out"), "id bigint").groupBy().sum().first()[0] == 999 * 1000
+
+
+def test_small_pieces_are_dealt_among_few_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "TASKS_PER_CORE", 1)
+    (folder / "in").mkdir()
+    (folder / "in" / "x").write_text("".join(f'{{"id":{n}}}\n' for n in range(3000)))
+    options = ReadOptions(path=str(folder / "in"), format="ldjson", size=100)
+    df = read_stream(spark, options, "id bigint", with_source=True)
+    finish(export_stream(df.select("id", "source.offset"), WriteOptions(str(folder / "out"), "ldjson"), str(folder / "marks")))
+    files = list((folder / "out").glob("part.*"))
+    rows = read_ldjson(spark, str(folder / "out"), "id bigint, offset bigint").collect()
+    assert 1 < len(files) <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in rows) == list(range(3000)) and len({r.offset for r in rows}) > 300
+
+
+def test_small_pieces_of_other_names(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "TASKS_PER_CORE", 1)
+    (folder / "_x").write_text("".join(f"{n}\n" for n in range(3000)))
+    df = read_raw(spark, str(folder), size=100)
+    assert 1 < df.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted(int(r.data) for r in df.collect()) == list(range(3000))
