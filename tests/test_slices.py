@@ -149,3 +149,36 @@ def test_layout_that_only_hadoop_cannot_write(spark, folder, monkeypatch):
     monkeypatch.setitem(send.__globals__, "_opens", lambda *_: False)
     with pytest.raises(OptionError):
         export_routed(spark.range(1).withColumn("to", F.lit("a")), str(folder), "ldjson", "to", naming="direct", layout="plain")
+
+
+def test_names_stay_with_the_tasks(spark, folder):
+    options = WriteOptions(str(folder), "ldjson", id="w", naming="direct", records_per_file=1)
+    Sender(options).send(spark.range(0, 600, 1, 3))
+    log = SliceLog(Files(spark, str(folder)), str(folder), "w")
+    (entry,) = log.entries()
+    assert entry.files == () and len(entry.numbers) == 3
+    assert sorted(log.names(entry)) == sorted(p.name for p in folder.glob("w.*.ldjson")) and len(numbers(folder)) == 600
+    assert (folder / ".w.slices" / entry.key).stat().st_size < 1000
+    Sender(options).send(spark.range(5))
+    assert ids(spark, folder) == [0, 1, 2, 3, 4] and len(numbers(folder)) == 5
+    (entry,) = log.entries()
+    assert len([p for p in (folder / ".w.slices").glob("*.files")]) == len(entry.numbers)
+    # an export of the other kind finds them in the lists
+    Sender(WriteOptions(str(folder), "ldjson", id="w")).send(spark.range(7, 9))
+    assert ids(spark, folder) == [7, 8]
+
+
+def test_attempts_without_a_message_are_removed(folder):
+    (folder / ".w.slices").mkdir()
+    (folder / "a").mkdir()
+    for n in (7, 8, 9):
+        (folder / f"w.{n}.csv").write_text("x"), (folder / "a" / f"w.{n + direct.FURTHER}.csv").write_text("x")
+        if n < 9:
+            (folder / ".w.slices" / f"k.{n}.files").write_text(f'"w.{n}.csv"\n')
+    kind = dict(id="w", ending=".csv", compression="none", delimiter="\n", array=False, header=None, routed=False, route_prefix="")
+    target = direct.Target(path=str(folder), records_per_file=1, bytes_per_file=None, offset=0, low=5, manifest=str(folder / ".w.slices" / "k.files"), **kind)
+    direct.DirectWriter(target).commit([direct.Written(7, 2), direct.Written(None, 0), None])
+    left = sorted(str(p.relative_to(folder)) for p in folder.rglob("*.csv"))
+    assert left == [f"a/w.{7 + direct.FURTHER}.csv", f"a/w.{9 + direct.FURTHER}.csv", "w.7.csv", "w.9.csv"]
+    assert json.loads((folder / ".w.slices" / "k.files").read_text()) == {"numbers": [7], "records": 2}
+    assert not (folder / ".w.slices" / "k.8.files").exists()
